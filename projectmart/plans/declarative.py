@@ -6,7 +6,7 @@ expectation are dropped. The results differ from the batch path on purpose.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -218,7 +218,7 @@ def expectation_report(raw: Tables, rules: Mapping[str, Mapping[str, Column]]) -
     return report
 
 
-def cost_variance_monthly(silver: Tables) -> DataFrame:
+def cost_variance_monthly(silver: Tables, *, as_of: str | None = None) -> DataFrame:
     monthly = (
         silver["fact_project_costs"]
         .groupBy(
@@ -240,7 +240,7 @@ def cost_variance_monthly(silver: Tables) -> DataFrame:
     ).withColumnRenamed("project_type_clean", "project_type")
 
 
-def schedule_kpi(silver: Tables) -> DataFrame:
+def schedule_kpi(silver: Tables, *, as_of: str | None = None) -> DataFrame:
     status = F.col("status_clean")
     delay = F.datediff(F.col("actual_dt"), F.col("planned_dt"))
     zones = (
@@ -260,7 +260,7 @@ def schedule_kpi(silver: Tables) -> DataFrame:
     return enrich(zones, silver["dim_projects"], "project_id", ("project_name",))
 
 
-def vendor_scorecard(silver: Tables) -> DataFrame:
+def vendor_scorecard(silver: Tables, *, as_of: str | None = None) -> DataFrame:
     """Every vendor with its average scores; 0 evaluations when there are none."""
     scores = {
         "avg_overall_score": "overall_score_corrected",
@@ -305,7 +305,7 @@ def invoice_aging(silver: Tables, *, as_of: str | None = None) -> DataFrame:
     return enrich(aged, silver["dim_vendors"], "vendor_id", ("vendor_name",))
 
 
-def employee_purchase_summary(silver: Tables) -> DataFrame:
+def employee_purchase_summary(silver: Tables, *, as_of: str | None = None) -> DataFrame:
     return purchases_by_manager(
         silver["dim_employee"],
         silver["dim_projects"],
@@ -316,11 +316,19 @@ def employee_purchase_summary(silver: Tables) -> DataFrame:
     )
 
 
+# Every mart: the silver tables it reads, and how it is built.
+GOLD: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
+    "gold_cost_variance_monthly": (("fact_project_costs", "dim_projects"), cost_variance_monthly),
+    "gold_schedule_kpi": (("fact_schedule_milestones", "dim_projects"), schedule_kpi),
+    "gold_vendor_scorecard": (
+        ("dim_vendors", "fact_subcontractor_performance"), vendor_scorecard,
+    ),
+    "gold_invoice_aging": (("fact_invoices", "dim_vendors"), invoice_aging),
+    "gold_employee_purchase_summary": (
+        ("dim_employee", "dim_projects", "fact_purchase_orders"), employee_purchase_summary,
+    ),
+}
+
+
 def gold_marts(silver: Tables, *, as_of: str | None = None) -> dict[str, DataFrame]:
-    return {
-        "gold_cost_variance_monthly": cost_variance_monthly(silver),
-        "gold_schedule_kpi": schedule_kpi(silver),
-        "gold_vendor_scorecard": vendor_scorecard(silver),
-        "gold_invoice_aging": invoice_aging(silver, as_of=as_of),
-        "gold_employee_purchase_summary": employee_purchase_summary(silver),
-    }
+    return {mart: build(silver, as_of=as_of) for mart, (_, build) in GOLD.items()}

@@ -106,7 +106,9 @@ def refresh(
     if layer == "silver":
         df = declarative.silver_table(table, scan(spark, layers, "bronze", table))
     else:
-        df = declarative.gold_marts(core(spark, layers, "silver"), as_of=as_of)[table]
+        sources, build = declarative.GOLD[table]
+        silver_tables = {source: scan(spark, layers, "silver", source) for source in sources}
+        df = build(silver_tables, as_of=as_of)
     save(df, layers, layer, table)
 
 
