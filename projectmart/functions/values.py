@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,20 @@ from projectmart.functions import fixed_values as V
 MONEY = "decimal(18,4)"
 
 
+def literals(constructor: str, items: Iterable[str | int | None]) -> Column:
+    """A constant ``array`` or ``map``, parsed as one expression instead of built item by item."""
+
+    def text(item: str | int | None) -> str:
+        if item is None:
+            return "NULL"
+        if isinstance(item, int):
+            return str(item)
+        escaped = item.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+
+    return F.expr(f"{constructor}({', '.join(map(text, items))})")
+
+
 def fold(text: Column) -> Column:
     """Lower case without blanks at the ends; tabs stay."""
     return F.lower(F.trim(text))
@@ -28,9 +43,8 @@ def map_enum(
 ) -> Column:
     """Fold, then replace known variants; anything else becomes NULL or stays folded."""
     words = {**{v: v for v in valid}, **(variants or {})}
-    pairs = [F.lit(part) for pair in words.items() for part in pair]
     folded = fold(text)
-    mapped = F.try_element_at(F.create_map(*pairs), folded)
+    mapped = F.try_element_at(literals("map", chain.from_iterable(words.items())), folded)
     return F.coalesce(mapped, folded) if keep_unmapped else mapped
 
 

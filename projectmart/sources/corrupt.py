@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from projectmart.functions.values import literals
+
 
 def hit(key: Column, modulus: int, residue: int) -> Column:
     return key % modulus == residue
@@ -22,7 +24,7 @@ def div(key: Column, modulus: int) -> Column:
 
 def pick(pool: Sequence[str | int | None], n: Column) -> Column:
     """Element ``n mod len`` of a fixed list."""
-    return F.element_at(F.array(*[F.lit(v) for v in pool]), (n % len(pool) + 1).cast("int"))
+    return F.get(literals("array", pool), (n % len(pool)).cast("int"))
 
 
 def nulled(value: Column, key: Column, modulus: int = 41, residue: int = 7) -> Column:
@@ -56,28 +58,34 @@ def dirty_business_id(value: Column, key: Column) -> Column:
     return swapped(value, key, ("12345", "ABCDEFG-H", "0000000-0", "", None), 31, 11)
 
 
-def _by_format(value: Column, key: Column, modulus: int, formats: Sequence[str]) -> Column:
-    choice = div(key, modulus) % len(formats)
-    text = F.when(choice == 0, F.date_format(value, formats[0]))
-    for i, fmt in enumerate(formats[1:], start=1):
-        text = text.when(choice == i, F.date_format(value, fmt))
-    return text
+# Orders of the parts of an ISO date, as replacements; the third one needs a month name instead.
+_DATE_ORDERS = ("$3/$2/$1", "$1$2$3", "", "$2-$3-$1")
+_MONTH_ORDERS = ("$1-$2", "$3/$2/$1", "")
+_ISO_PARTS = r"(\d+)-(\d+)-(\d+)"
+
+
+def _dirty_text(
+    date: Column, key: Column, residue: int, orders: Sequence[str], named: str
+) -> Column:
+    """Text of a date: ISO, for some keys with its parts in another order or the month by name.
+
+    Rearranging text keeps the generated code of wide tables small enough to be compiled.
+    """
+    iso, choice = date.cast("string"), div(key, 13)
+    by_name = choice % len(orders) == orders.index("")
+    rearranged = F.regexp_replace(iso, F.lit(_ISO_PARTS), pick(orders, choice))
+    dirty = F.when(by_name, F.date_format(date, named)).otherwise(rearranged)
+    return F.when(hit(key, 13, residue), dirty).otherwise(iso)
 
 
-def dirty_date(value: Column, key: Column) -> Column:
+def dirty_date(date: Column, key: Column) -> Column:
     """A date as text, for some keys in one of four other formats."""
-    formats = ("dd/MM/yyyy", "yyyyMMdd", "dd-MMM-yyyy", "MM-dd-yyyy")
-    return F.when(hit(key, 13, 5), _by_format(value, key, 13, formats)).otherwise(
-        value.cast("string")
-    )
+    return _dirty_text(date, key, 5, _DATE_ORDERS, "dd-MMM-yyyy")
 
 
-def dirty_month(value: Column, key: Column) -> Column:
+def dirty_month(date: Column, key: Column) -> Column:
     """The first of a month as text, for some keys in one of three other formats."""
-    formats = ("yyyy-MM", "dd/MM/yyyy", "MMMM yyyy")
-    return F.when(hit(key, 13, 6), _by_format(value, key, 13, formats)).otherwise(
-        value.cast("string")
-    )
+    return _dirty_text(date, key, 6, _MONTH_ORDERS, "MMMM yyyy")
 
 
 def negated(value: Column, key: Column) -> Column:
