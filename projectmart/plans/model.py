@@ -16,13 +16,14 @@ from projectmart.functions import fixed_values as V
 from projectmart.functions.values import risk_bucket, stamp
 from projectmart.operators.aggregates import ratio
 from projectmart.plans.features import LABEL
-from projectmart.sources.tables import Layers, put_metadata
+from projectmart.sources.tables import Layers, ensure_checkpoints, put_metadata
 
 ID = "project_id"
 CATEGORIES = ("project_type", "municipality", "status")
 NOT_FEATURES = (ID, "ingestion_timestamp", LABEL)
 CLASSES = (0, 1)
 ROWS_PER_BUCKET = 1000
+ROWS_PER_PART = 250_000
 
 
 def known_categories(features: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def with_split(
         "_hash", F.xxhash64(F.col(ID), F.lit(seed))
     )
     cuts = hashed.groupBy(label).agg(
-        F.percentile_approx("_hash", fraction, F.lit(100000)).alias("_cut")
+        F.percentile_approx("_hash", fraction, F.lit(10000)).alias("_cut")
     )
     return (
         hashed.join(F.broadcast(cuts), label)
@@ -101,7 +102,9 @@ def train(
     """Boosted trees on balanced classes.
 
     Category codes enter as plain numbers: their arithmetic drops the nominal metadata, so the
-    number of categories is not limited by the number of bins.
+    number of categories is not limited by the number of bins. Boosting runs a job per tree level,
+    so the rows are first spread evenly over as many parts as their number calls for. Every tenth
+    round is checkpointed, which keeps the lineage short and a lost executor cheap.
     """
     numbers = ", ".join(f"{c}_code + 0.0D AS {c}_number" for c in CATEGORIES)
     inputs = model_features(features, exclude)
@@ -111,7 +114,10 @@ def train(
         VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
         GBTClassifier(labelCol=LABEL, weightCol="weight", **params),
     ]
-    return Pipeline(stages=stages).fit(with_weights(known_categories(features)))
+    weighted = with_weights(known_categories(features))
+    ensure_checkpoints(features.sparkSession)
+    parts = max(1, -(-weighted.count() // ROWS_PER_PART))
+    return Pipeline(stages=stages).fit(weighted.repartition(parts))
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:

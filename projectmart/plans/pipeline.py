@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from projectmart.functions import fixed_values as V
 from projectmart.plans import declarative, features, gold, model, silver, validate
 from projectmart.plans.audit import audit_enums, audit_keys, dq_scorecard
 from projectmart.plans.govern import apply_governance
 from projectmart.sources.schemas import CORE_TABLES
-from projectmart.sources.tables import Layers, ensure_namespaces, save, scan
+from projectmart.sources.tables import Layers, ensure_namespaces, put_metadata, save, scan
 from projectmart.streaming.ingest import ingest_tables
 
 Tables = Mapping[str, DataFrame]
@@ -120,10 +120,27 @@ def run_declarative(
     stream_root: str,
     as_of: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Drain the streams, then recompute silver and gold in order; returns the gold marts."""
+    """Drain the streams, then recompute silver and gold in order; returns the gold marts.
+
+    Violations of the expectations are counted while silver is written, and kept as metadata.
+    """
     ensure_namespaces(spark, layers)
     streamed = ingest_tables(spark, dict(sources), stream_root)
-    save_all(declarative.silver_tables(streamed), layers, "silver")
+    observed = {table: Observation() for table in CORE_TABLES}
+    save_all(
+        {
+            table: declarative.silver_table(table, streamed[table], observation=observation)
+            for table, observation in observed.items()
+        },
+        layers,
+        "silver",
+    )
+    counted = [
+        (f"expectation.{table}.{rule}", str(count))
+        for table, observation in observed.items()
+        for rule, count in observation.get.items()
+    ]
+    put_metadata(spark, layers, spark.createDataFrame(counted, "key string, value string"))
     clean = core(spark, layers, "silver")
     marts = declarative.gold_marts(clean, as_of=as_of)
     save_all(marts, layers, "gold")

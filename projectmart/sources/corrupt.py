@@ -58,34 +58,33 @@ def dirty_business_id(value: Column, key: Column) -> Column:
     return swapped(value, key, ("12345", "ABCDEFG-H", "0000000-0", "", None), 31, 11)
 
 
-# Orders of the parts of an ISO date, as replacements; the third one needs a month name instead.
-_DATE_ORDERS = ("$3/$2/$1", "$1$2$3", "", "$2-$3-$1")
-_MONTH_ORDERS = ("$1-$2", "$3/$2/$1", "")
+# Other orders of the parts of an ISO date, as replacements; @ stands for the name of the month.
+_DATE_ORDERS = ("$3/$2/$1", "$1$2$3", "$3-@-$1", "$2-$3-$1")
+_MONTH_ORDERS = ("$1-$2", "$3/$2/$1", "@ $1")
 _ISO_PARTS = r"(\d+)-(\d+)-(\d+)"
 
 
 def _dirty_text(
-    date: Column, key: Column, residue: int, orders: Sequence[str], named: str
+    date: Column, key: Column, residue: int, orders: Sequence[str], month: str
 ) -> Column:
-    """Text of a date: ISO, for some keys with its parts in another order or the month by name.
+    """Text of a date: ISO, for some keys with its parts in another order.
 
     Rearranging text keeps the generated code of wide tables small enough to be compiled.
     """
-    iso, choice = date.cast("string"), div(key, 13)
-    by_name = choice % len(orders) == orders.index("")
-    rearranged = F.regexp_replace(iso, F.lit(_ISO_PARTS), pick(orders, choice))
-    dirty = F.when(by_name, F.date_format(date, named)).otherwise(rearranged)
+    iso = date.cast("string")
+    rearranged = F.regexp_replace(iso, F.lit(_ISO_PARTS), pick(orders, div(key, 13)))
+    dirty = F.replace(rearranged, F.lit("@"), F.date_format(date, month))
     return F.when(hit(key, 13, residue), dirty).otherwise(iso)
 
 
 def dirty_date(date: Column, key: Column) -> Column:
     """A date as text, for some keys in one of four other formats."""
-    return _dirty_text(date, key, 5, _DATE_ORDERS, "dd-MMM-yyyy")
+    return _dirty_text(date, key, 5, _DATE_ORDERS, "MMM")
 
 
 def dirty_month(date: Column, key: Column) -> Column:
     """The first of a month as text, for some keys in one of three other formats."""
-    return _dirty_text(date, key, 6, _MONTH_ORDERS, "MMMM yyyy")
+    return _dirty_text(date, key, 6, _MONTH_ORDERS, "MMMM")
 
 
 def negated(value: Column, key: Column) -> Column:

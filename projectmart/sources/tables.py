@@ -27,6 +27,12 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Give the session a checkpoint folder unless it has one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where the tables of one deployment are: schema prefix, folder and file format."""

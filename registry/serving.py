@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from oracle import core as O
+from projectmart.operators.joins import join_on
 from projectmart.plans import serve
 from registry import scalar  # noqa: F401  (the fixed predictions in SQL)
 from registry.base import Tables, query
@@ -68,6 +71,17 @@ def _(t: Tables):
     return serve.risk_predictions(t.fixed_scores, t.silver["dim_projects"])
 
 
+@query(
+    "jn_8_scores_to_dimension",
+    "SELECT s.project_id, s.risk_level, p.project_name FROM p_scores s"
+    " JOIN s_dim_projects p ON s.project_id = p.project_id",
+)
+def _(t: Tables):
+    scores = t.fixed_scores.select("project_id", "risk_level")
+    names = t.silver["dim_projects"].select(F.col("project_id").alias("known_id"), "project_name")
+    return join_on(scores, names, "project_id", "known_id").drop("known_id")
+
+
 @query(
     "qs_7_employee_purchasing",
     "SELECT * EXCLUDE (employee_id) FROM g_employee_purchase_summary WHERE full_name IS NOT NULL"

@@ -52,6 +52,12 @@ def test_hot_key_is_cut_before_the_shuffle(keyed):
     assert text.rindex("Exchange hashpartitioning") < partial
 
 
+def test_key_filter_after_the_dedup_moves_below_it(keyed):
+    optimized = first_per_key(keyed, ["k"]).filter("k IS NOT NULL")
+    text = optimized._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Window ") < text.index("isnotnull(k")
+
+
 def test_dedup_on_a_hot_key(spark):
     hot = spark.range(0, 30000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")

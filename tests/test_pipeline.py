@@ -163,6 +163,13 @@ def test_stream_then_recompute_equals_batch_read(spark, stored, small):
     for mart, df in direct.items():
         assert df.exceptAll(marts[mart]).count() == 0
         assert df.count() == marts[mart].count()
+    raw = fixtures.raw_tables(spark, small)
+    report = declarative.expectation_report(raw, declarative.required_rules())
+    expected = {
+        f"expectation.{r['table']}.{r['rule']}": str(r["violations"]) for r in report.collect()
+    }
+    kept = spark.table(Layers("declared_", root).name("gold", "run_metadata")).collect()
+    assert expected.items() <= {r["key"]: r["value"] for r in kept}.items()
 
 
 def test_drop_keeps_bronze_unless_asked(spark, small):
