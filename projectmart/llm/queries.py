@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from projectmart.llm import line_dedup, quality, url_filter
+from projectmart.llm import (
+    decontamination,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,6 +83,35 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_packing")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), "byte_bpe_50k.json")
+
+
+@query("op5_token_counts")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, folder, "documents"), "word_bpe_49k.json")
+    return counts.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
+
+
+@query("op6_personal_data")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *(f"n_{k}" for k in pii.KINDS),
+        F.sha2("base_spans", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
+@query("op7_simhash")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    near = simhash.near_duplicates(table(spark, folder, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return near.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def _quality_sql() -> str:
     stop = sorted({*quality.STOP_WORDS, *(w.capitalize() for w in quality.STOP_WORDS)})
     listed = ", ".join(f"'{w}'" for w in stop)
@@ -143,3 +181,51 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+DECONTAMINATION_SQL = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(lower_text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS lower_text FROM documents)
+), b AS (
+  SELECT item_id, regexp_extract_all(lower_text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS lower_text FROM benchmark)
+), s AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS m,
+    array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), p AS (
+  SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS words
+  FROM (SELECT w.*, m, unnest(range(1, len(w) - m + 2)) AS i
+    FROM w, (SELECT DISTINCT m FROM s) WHERE len(w) >= m)
+), f AS (
+  SELECT DISTINCT doc_id, item_id, i, p.m FROM p JOIN s ON p.m = s.m AND p.words = s.words
+), h AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM f) GROUP BY doc_id
+), n AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::varchar AS id FROM f) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op10_decontamination", DECONTAMINATION_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.find_contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"]
+    )
+    n_hit = F.size("hit_words").cast("long")
+    return found.select(
+        F.col("c_doc_id").alias("doc_id"),
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
