@@ -198,4 +198,8 @@ def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = METHOD_RULES) ->
     # The whole row travels as one struct: its own columns cannot clash with those of the metrics.
     names = docs.columns
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), "text")
-    return judge(packed, rules).filter("kept").select(*(f"_row.`{c}`" for c in names))
+    # A column that is not a function of the row holds the filter above the projection. Pushed below
+    # it, the filter would repeat the expressions of all metrics, and those they are made of.
+    judged = judge(packed, rules).withColumn("_order", F.monotonically_increasing_id())
+    kept = judged.filter(F.col("kept") & (F.col("_order") >= 0))
+    return kept.select(*(f"_row.`{c}`" for c in names))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from projectmart.llm import (
@@ -13,7 +13,9 @@ from projectmart.llm import (
     packing,
     pii,
     quality,
+    recompression,
     simhash,
+    suffix_dedup,
     token_counts,
     url_filter,
 )
@@ -45,6 +47,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def removed_units() -> Column:
+    lengths = F.transform("removed", lambda r: r["length"])
+    return F.aggregate(lengths, F.lit(0).cast("long"), lambda total, n: total + n)
+
+
 @query("op1_url_filter")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -88,6 +95,17 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), "byte_bpe_50k.json")
 
 
+@query("op4_suffix_dedup")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(table(spark, folder, "documents")).select(
+        "doc_id",
+        F.col("n_units").alias("n_bytes"),
+        removed_units().alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op5_token_counts")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, folder, "documents"), "word_bpe_49k.json")
@@ -183,6 +201,41 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+WINDOW_SQL = """
+WITH t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'),
+    lambda x: x <> '') AS w FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t)
+), f AS (
+  SELECT words, min(doc_id) AS first_doc FROM g GROUP BY words
+), c AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+  FROM g JOIN f USING (words) WHERE first_doc < doc_id
+), k AS (
+  SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.i) FILTER (c.i IS NULL) AS kept,
+    count(c.i) AS n_removed
+  FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM t) AS u
+  LEFT JOIN c ON u.doc_id = c.doc_id AND u.i = c.i
+  GROUP BY u.doc_id
+)
+SELECT t.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op9_recompression", WINDOW_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.dedup_windows(table(spark, folder, "documents")).select(
+        "doc_id",
+        F.col("n_units").alias("n_words"),
+        removed_units().alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 DECONTAMINATION_SQL = """
 WITH w AS (
   SELECT doc_id, regexp_extract_all(lower_text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
