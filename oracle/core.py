@@ -179,11 +179,12 @@ def flag(s: str) -> str:
 
 
 def half_up(x: str, scale: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(28,{scale + 4})), {scale}) AS DOUBLE)"
+    """Rounded once, at the decimal text of the double."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {scale}) AS DOUBLE)"
 
 
 def dec(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,4))"
+    return f"CAST({x} AS DECIMAL(28,4))"
 
 
 def msum(x: str) -> str:
@@ -200,6 +201,10 @@ def avg(x: str) -> str:
 
 
 def pct(n: str, d: str, scale: int = 2) -> str:
+    return half_up(f"(CAST({n} AS DOUBLE) / nullif(CAST({d} AS DOUBLE), 0) * 100.0::DOUBLE)", scale)
+
+
+def hundredths(n: str, d: str, scale: int = 2) -> str:
     return half_up(f"(CAST({n} AS DOUBLE) * 100.0::DOUBLE / nullif(CAST({d} AS DOUBLE), 0))", scale)
 
 
@@ -287,7 +292,7 @@ FROM b_projects_base
 CTES["b_dim_projects"] = f"""
 SELECT * EXCLUDE (k) FROM b_projects_keyed
 UNION ALL
-SELECT * EXCLUDE (k) REPLACE ('Duplicate Street 1, HKI' AS site_address,
+SELECT * EXCLUDE (k) REPLACE ('second entry' AS site_address,
   {pick(V.PROJECT_TYPES, 'k + 1')} AS project_type, CAST(NULL AS VARCHAR) AS actual_end_date)
 FROM b_projects_keyed WHERE k % 59 = 0
 """
@@ -384,7 +389,7 @@ FROM b_cost_lines
 """
 
 CTES["b_milestone_lines"] = f"""
-SELECT *, {pick(V.MILESTONE_STATUSES, 'l_partkey')} AS s FROM b_lines WHERE l_linenumber = 1
+SELECT *, {pick(V.MILESTONE_STATUSES, 'l_partkey')} AS s FROM b_lines
 """
 _actual = "CASE WHEN s = 'complete' THEN ordered + CAST(l_partkey % 56 - 10 AS INTEGER) END"
 _actual = illogical(_actual, "k", "ordered + 3", "s <> 'complete'")
@@ -392,8 +397,8 @@ _late = "CASE WHEN s = 'complete' THEN l_partkey % 56 - 10 END"
 CTES["b_fact_schedule_milestones"] = f"""
 SELECT {nulled(tagged('MS-', 'k', 7), 'k')} AS milestone_id,
   {dirty_key(project_key('o_custkey'), 'k', X.BAD_PROJECT)} AS project_id,
-  {pick(X.MILESTONE_NAMES, 'l_partkey')} AS milestone_name,
-  {nulled(pick(X.TAKT_ZONES, 'l_partkey'), 'k', 17, 5)} AS takt_zone,
+  {tagged('Step ', 'l_partkey % 16 + 1', 2)} AS milestone_name,
+  {nulled(tagged('Z', 'l_partkey % 11 + 1', 2), 'k', 17, 5)} AS takt_zone,
   {dirty_date('ordered', 'k')} AS planned_date,
   {dirty_date('(ordered + CAST(l_partkey % 76 - 15 AS INTEGER))', 'k + 4')} AS forecast_date,
   {dirty_date(f'({_actual})', 'k + 8')} AS actual_date,
@@ -407,7 +412,7 @@ SELECT *, CAST(l_partkey % 10 + 1 AS INTEGER) AS quality,
   CAST(l_partkey * 3 % 10 + 1 AS INTEGER) AS schedule,
   CAST(l_partkey * 7 % 10 + 1 AS INTEGER) AS safety,
   CAST(l_partkey * 9 % 10 + 1 AS INTEGER) AS communication
-FROM b_lines WHERE l_linenumber = 2
+FROM b_lines
 """
 _overall = (
     "CAST(CAST(quality * 4 + schedule * 3 + safety * 2 + communication AS DECIMAL(6,0))"
@@ -743,7 +748,7 @@ SELECT c.project_id, p.project_name, p.project_type_clean AS project_type,
   c.cost_category_clean AS cost_category, strftime(c.period_month_dt, '%Y-%m') AS period_year_month,
   {msum('c.budget_eur_clean')} AS total_budget_eur, {msum('c.actual_eur_clean')} AS total_actual_eur,
   {msum('c.variance_eur_corrected')} AS total_variance_eur,
-  {pct(msum('c.actual_eur_clean'), msum('c.budget_eur_clean'))} AS budget_utilization_pct
+  {hundredths(msum('c.actual_eur_clean'), msum('c.budget_eur_clean'))} AS budget_utilization_pct
 FROM d_fact_project_costs c LEFT JOIN d_dim_projects p ON c.project_id = p.project_id
 GROUP BY 1, 2, 3, 4, 5
 """
@@ -754,7 +759,7 @@ CTES["dg_schedule_kpi"] = f"""
 SELECT m.project_id, p.project_name, m.takt_zone, count(*) AS total_milestones,
   {count_if("m.status_clean = 'complete'")} AS completed_milestones,
   {count_if("m.status_clean = 'delayed'")} AS delayed_milestones,
-  {pct(count_if("m.status_clean = 'complete'"), 'count(*)')} AS completion_rate_pct,
+  {hundredths(count_if("m.status_clean = 'complete'"), 'count(*)')} AS completion_rate_pct,
   {half_up(avg(_delay), 1)} AS avg_delay_days
 FROM d_fact_schedule_milestones m LEFT JOIN d_dim_projects p ON m.project_id = p.project_id
 GROUP BY 1, 2, 3
@@ -766,7 +771,7 @@ SELECT v.vendor_id, v.vendor_name, v.vendor_type_clean AS vendor_type,
   {half_up(mean('e.quality_score_clean'), 2)} AS avg_quality_score,
   {half_up(mean('e.safety_score_clean'), 2)} AS avg_safety_score,
   count(DISTINCT e.perf_id) AS evaluation_count,
-  {pct(count_if('e.would_rehire_bool'), 'count(e.perf_id)')} AS rehire_rate_pct
+  {hundredths(count_if('e.would_rehire_bool'), 'count(e.perf_id)')} AS rehire_rate_pct
 FROM d_dim_vendors v LEFT JOIN d_fact_subcontractor_performance e ON v.vendor_id = e.vendor_id
 GROUP BY 1, 2, 3, 4
 """
@@ -783,7 +788,7 @@ SELECT e.employee_id, e.full_name, e.role_clean, e.department_clean,
   CAST(round(sum({dec('o.po_value_eur_clean')}), 2) AS DOUBLE) AS total_po_value_eur,
   CAST(round(sum({dec('o.invoiced_eur_clean')}), 2) AS DOUBLE) AS total_invoiced_eur,
   {count_if('o.is_over_invoiced')} AS over_invoiced_count,
-  {pct(count_if('o.is_over_invoiced'), 'count(DISTINCT o.po_id)')} AS over_invoiced_pct,
+  {hundredths(count_if('o.is_over_invoiced'), 'count(DISTINCT o.po_id)')} AS over_invoiced_pct,
   count(DISTINCT p.project_id) AS project_count,
   {half_up(mean('o.po_value_eur_clean'), 2)} AS avg_po_value_eur
 FROM d_dim_employee e

@@ -12,7 +12,7 @@ from projectmart.functions import fixed_values as V
 
 # Money is summed and compared in decimal: the result then does not depend on the order in which
 # partitions arrive. Results are handed back as double, the type of the raw columns.
-MONEY = "decimal(18,4)"
+MONEY = "decimal(28,4)"
 
 
 def literals(constructor: str, items: Iterable[str | int | None]) -> Column:
@@ -69,8 +69,8 @@ def null_outside(value: Column, low: int = V.SCORE_MIN, high: int = V.SCORE_MAX)
 
 
 def round_half_up(value: Column, scale: int) -> Column:
-    """Round a double at its decimal digits (1.005 -> 1.01), not at its binary value."""
-    return F.round(value.cast(f"decimal(28,{scale + 4})"), scale).cast("double")
+    """Round a double once, at its decimal digits (1.005 -> 1.01), not at its binary value."""
+    return F.round(value.cast("double"), scale)
 
 
 def variance(budget: Column, actual: Column) -> Column:

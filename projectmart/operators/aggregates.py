@@ -33,6 +33,13 @@ def n_distinct(value: Column, approx: bool = False) -> Column:
 
 def pct(part: Column, whole: Column, scale: int = 2) -> Column:
     """part / whole * 100, rounded; NULL for a zero or unknown whole."""
+    percent = F.try_divide(part.cast("double"), whole.cast("double")) * 100.0
+    return round_half_up(percent, scale)
+
+
+def hundredths(part: Column, whole: Column, scale: int = 2) -> Column:
+    """part * 100 / whole, rounded: the order of the declarative path, which can differ from
+    ``pct`` in the last place."""
     percent = F.try_divide(part.cast("double") * 100.0, whole.cast("double"))
     return round_half_up(percent, scale)
 

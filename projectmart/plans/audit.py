@@ -41,8 +41,8 @@ def audit_keys(bronze: Tables, silver: Tables) -> DataFrame:
     )
 
 
-def null_profile(df: DataFrame, max_columns: int = 10) -> DataFrame:
-    """Null count per column from one pass over the table."""
+def null_profile(df: DataFrame, max_columns: int | None = None) -> DataFrame:
+    """Null count per column, or of the first columns, from one pass over the table."""
     columns = df.columns[:max_columns]
     counts = df.agg(
         F.count("*").alias("total"),
@@ -59,7 +59,7 @@ def null_profile(df: DataFrame, max_columns: int = 10) -> DataFrame:
     )
 
 
-def audit_nulls(layers: Mapping[str, Tables], max_columns: int = 10) -> DataFrame:
+def audit_nulls(layers: Mapping[str, Tables], max_columns: int | None = None) -> DataFrame:
     """Columns with NULL in some tables, per layer."""
     parts = [
         null_profile(tables[table], max_columns).select(
@@ -68,26 +68,35 @@ def audit_nulls(layers: Mapping[str, Tables], max_columns: int = 10) -> DataFram
         for table in NULL_TABLES
         for layer, tables in layers.items()
     ]
-    return union(parts).filter("null_pct > 0").orderBy("table", "column", "layer")
+    return union(parts).filter("null_count > 0").orderBy("table", "column", "layer")
 
 
 def audit_enums(
     silver: Tables, rules: Sequence[tuple[str, str, Sequence[str]]] = ENUM_RULES
 ) -> DataFrame:
-    """Values outside the valid set per checked column."""
-    parts = []
+    """Values outside the valid set per checked column, from one pass over each table."""
+    by_table: dict[str, list[tuple[str, Sequence[str]]]] = {}
     for table, column, valid in rules:
-        value = F.col(column)
-        invalid = F.count_if(~value.isin(*valid) & value.isNotNull())
+        by_table.setdefault(table, []).append((column, valid))
+    parts = []
+    for table, checks in by_table.items():
+        counts = [
+            F.struct(
+                F.lit(column).alias("column"),
+                F.count(column).alias("total_non_null"),
+                F.count_if(~F.col(column).isin(*valid) & F.col(column).isNotNull()).alias(
+                    "invalid_values"
+                ),
+            )
+            for column, valid in checks
+        ]
         parts.append(
             silver[table]
-            .agg(F.count(value).alias("total_non_null"), invalid.alias("invalid_values"))
-            .select(
-                F.lit(table).alias("table"),
-                F.lit(column).alias("column"),
-                "total_non_null",
-                "invalid_values",
-                F.when(F.col("invalid_values") == 0, "PASS").otherwise("FAIL").alias("status"),
+            .agg(F.array(*counts).alias("checks"))
+            .select(F.explode("checks").alias("c"))
+            .select(F.lit(table).alias("table"), "c.*")
+            .withColumn(
+                "status", F.when(F.col("invalid_values") == 0, "PASS").otherwise("FAIL")
             )
         )
     return union(parts)

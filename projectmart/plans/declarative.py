@@ -27,7 +27,7 @@ from projectmart.functions.values import (
     variance,
     weighted_score,
 )
-from projectmart.operators.aggregates import avg_if, mean, money_sum, pct
+from projectmart.operators.aggregates import avg_if, hundredths, mean, money_sum
 from projectmart.operators.expect import expect, expect_or_drop, violations
 from projectmart.operators.joins import enrich
 from projectmart.operators.keys import first_per_key
@@ -181,8 +181,8 @@ _CLEANERS = {
 def cleaned_table(table: str, raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key with the cleaned columns, before the expectations.
 
-    Of the rows without key one remains and breaks the key expectation. In ``silver_table`` the
-    optimizer moves that filter below the window, so those rows never reach the shuffle.
+    Of the rows without key one remains and breaks the key expectation; ``silver_table`` drops
+    them all before.
     """
     return stamp(_CLEANERS[table](first_per_key(raw, [PRIMARY_KEYS[table]], order_by)))
 
@@ -192,12 +192,37 @@ def silver_table(
     raw: DataFrame,
     *,
     order_by: Sequence[str] | None = None,
-    observation: Observation | None = None,
+    observed: Mapping[str, Observation] | None = None,
 ) -> DataFrame:
-    """The cleaned table without the rows that break a required expectation."""
-    cleaned = cleaned_table(table, raw, order_by)
-    warned = expect(cleaned, warning_rules().get(table, {}))
-    return expect_or_drop(warned, required_rules()[table], observation=observation)
+    """The cleaned table without the rows that break a required expectation.
+
+    Rows without key are counted and dropped before the rows of a key are compared, so that they
+    reach no shuffle; the other rules hold for the deduplicated rows. ``observed`` has the
+    observations of ``observations``.
+    """
+    observed = observed or {}
+    (key_rule, known), *others = required_rules()[table].items()
+    keyed = expect_or_drop(raw, {key_rule: known}, observation=observed.get("keys"))
+    cleaned = cleaned_table(table, keyed, order_by)
+    warned = expect(
+        cleaned, warning_rules().get(table, {}), observation=observed.get("warnings")
+    )
+    return expect_or_drop(warned, dict(others), observation=observed.get("rules"))
+
+
+def observations(table: str) -> dict[str, Observation]:
+    """An observation for each kind of count that writing the table yields."""
+    kinds = ["keys", "rules", *(["warnings"] if table in warning_rules() else [])]
+    return {kind: Observation() for kind in kinds}
+
+
+def observed_counts(observed: Mapping[str, Observation]) -> dict[str, int]:
+    """Violations per rule, and the deduplicated rows that the rules were checked on."""
+    keys, rules = observed["keys"].get, observed["rules"].get
+    counts = {rule: n for rule, n in keys.items() if rule != "rows"} | rules
+    if "warnings" in observed:
+        counts |= {r: n for r, n in observed["warnings"].get.items() if r != "rows"}
+    return counts
 
 
 def silver_tables(raw: Tables) -> dict[str, DataFrame]:
@@ -232,7 +257,7 @@ def cost_variance_monthly(silver: Tables, *, as_of: str | None = None) -> DataFr
             money_sum(F.col("variance_eur_corrected")).alias("total_variance_eur"),
         )
         .withColumn(
-            "budget_utilization_pct", pct(F.col("total_actual_eur"), F.col("total_budget_eur"))
+            "budget_utilization_pct", hundredths(F.col("total_actual_eur"), F.col("total_budget_eur"))
         )
     )
     return enrich(
@@ -254,7 +279,7 @@ def schedule_kpi(silver: Tables, *, as_of: str | None = None) -> DataFrame:
         )
         .withColumn(
             "completion_rate_pct",
-            pct(F.col("completed_milestones"), F.col("total_milestones")),
+            hundredths(F.col("completed_milestones"), F.col("total_milestones")),
         )
     )
     return enrich(zones, silver["dim_projects"], "project_id", ("project_name",))
@@ -273,7 +298,7 @@ def vendor_scorecard(silver: Tables, *, as_of: str | None = None) -> DataFrame:
         .agg(
             *[round_half_up(mean(F.col(c)), 2).alias(name) for name, c in scores.items()],
             F.count("perf_id").alias("evaluation_count"),
-            pct(F.count_if("would_rehire_bool"), F.count("perf_id")).alias("rehire_rate_pct"),
+            hundredths(F.count_if("would_rehire_bool"), F.count("perf_id")).alias("rehire_rate_pct"),
         )
     )
     named = silver["dim_vendors"].select(

@@ -23,7 +23,6 @@ CATEGORIES = ("project_type", "municipality", "status")
 NOT_FEATURES = (ID, "ingestion_timestamp", LABEL)
 CLASSES = (0, 1)
 ROWS_PER_BUCKET = 1000
-ROWS_PER_PART = 250_000
 
 
 def known_categories(features: DataFrame) -> DataFrame:
@@ -103,8 +102,7 @@ def train(
 
     Category codes enter as plain numbers: their arithmetic drops the nominal metadata, so the
     number of categories is not limited by the number of bins. Boosting runs a job per tree level,
-    so the rows are first spread evenly over as many parts as their number calls for. Every tenth
-    round is checkpointed, which keeps the lineage short and a lost executor cheap.
+    so the rows are first spread evenly over the cores. Every tenth round is checkpointed, which keeps the lineage short and a lost executor cheap.
     """
     numbers = ", ".join(f"{c}_code + 0.0D AS {c}_number" for c in CATEGORIES)
     inputs = model_features(features, exclude)
@@ -116,7 +114,7 @@ def train(
     ]
     weighted = with_weights(known_categories(features))
     ensure_checkpoints(features.sparkSession)
-    parts = max(1, -(-weighted.count() // ROWS_PER_PART))
+    parts = features.sparkSession.sparkContext.defaultParallelism
     return Pipeline(stages=stages).fit(weighted.repartition(parts))
 
 
@@ -180,10 +178,12 @@ def log_run(
     layers: Layers,
     params: Mapping[str, object],
     metrics: Mapping[str, float],
+    run_id: str | None = None,
 ) -> DataFrame:
     rows = [(f"param.{k}", str(v)) for k, v in params.items()]
     rows += [(f"metric.{k}", str(v)) for k, v in metrics.items()]
-    return put_metadata(spark, layers, spark.createDataFrame(rows, "key string, value string"))
+    entries = spark.createDataFrame(rows, "key string, value string")
+    return put_metadata(spark, layers, entries, run_id)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

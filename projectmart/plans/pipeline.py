@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from projectmart.functions import fixed_values as V
 from projectmart.plans import declarative, features, gold, model, silver, validate
-from projectmart.plans.audit import audit_enums, audit_keys, dq_scorecard
+from projectmart.plans.audit import audit_enums, audit_keys, audit_nulls, dq_scorecard
 from projectmart.plans.govern import apply_governance
-from projectmart.sources.schemas import CORE_TABLES
-from projectmart.sources.tables import Layers, ensure_namespaces, put_metadata, save, scan
+from projectmart.sources.schemas import CORE_TABLES, RAW_SCHEMAS
+from projectmart.sources.tables import (
+    Layers,
+    ensure_namespaces,
+    new_run,
+    put_metadata,
+    register,
+    save,
+    scan,
+)
 from projectmart.streaming.ingest import ingest_tables
 
 Tables = Mapping[str, DataFrame]
@@ -41,7 +49,7 @@ def build_silver(
     layers: Layers,
     *,
     as_of: str | None = None,
-    keys: Mapping[str, str] = V.NARROW_KEYS,
+    keys: Mapping[str, str] = V.WIDE_KEYS,
 ) -> None:
     bronze = core(spark, layers, "bronze")
     save_all(silver.silver_tables(bronze, as_of=as_of, keys=keys), layers, "silver")
@@ -61,22 +69,37 @@ def build_scores(
     layers: Layers,
     model_path: str,
     params: Mapping[str, float] = V.BOOSTING,
+    run_id: str | None = None,
 ) -> dict[str, float]:
-    """Train on 80 percent, measure on the rest, store the model, score every project."""
+    """Train on 80 percent, measure on the rest, store model, report and importance, score every
+    project. The predictions of the test rows are written once and read for each measure."""
     table = scan(spark, layers, "gold", "ml_feature_table")
     training, test = model.stratified_split(table)
     fitted = model.train(training, params)
-    metrics = model.evaluate(model.predict(fitted, test))
+    save(model.predict(fitted, test), layers, "gold", "ml_test_predictions")
+    predictions = scan(spark, layers, "gold", "ml_test_predictions")
+    metrics = model.evaluate(predictions)
+    report = model.classification_report(predictions)
+    save(report, layers, "gold", "ml_classification_report")
+    save(model.feature_importance(fitted, test), layers, "gold", "ml_feature_importance")
     model.save_model(fitted, model_path)
-    model.log_run(spark, layers, params, metrics)
+    model.log_run(spark, layers, params, metrics, run_id)
     scores = model.score_projects(model.load_model(model_path), table)
     save(scores, layers, "gold", "ml_project_risk_scores")
     return metrics
 
 
-def audit(spark: SparkSession, layers: Layers) -> DataFrame:
+def build_audit(spark: SparkSession, layers: Layers) -> None:
+    """Key, null and enumeration reports and the scorecard over them, as stored tables."""
     bronze, clean = core(spark, layers, "bronze"), core(spark, layers, "silver")
-    return dq_scorecard(audit_keys(bronze, clean), audit_enums(clean))
+    reports = {
+        "audit_keys": audit_keys(bronze, clean),
+        "audit_nulls": audit_nulls({"bronze": bronze, "silver": clean}),
+        "audit_enums": audit_enums(clean),
+    }
+    save_all(reports, layers, "gold")
+    keys, enums = (scan(spark, layers, "gold", t) for t in ("audit_keys", "audit_enums"))
+    save(dq_scorecard(keys, enums), layers, "gold", "audit_scorecard")
 
 
 def run_batch(
@@ -86,16 +109,31 @@ def run_batch(
     *,
     model_path: str,
     as_of: str | None = None,
-    keys: Mapping[str, str] = V.NARROW_KEYS,
+    keys: Mapping[str, str] = V.WIDE_KEYS,
     params: Mapping[str, float] = V.BOOSTING,
 ) -> DataFrame:
-    """The daily workflow; returns the validation results."""
+    """The daily workflow; returns the validation results.
+
+    After the marts, three branches run at once: features and model, audit, and governance. The
+    table comments come first within theirs, the model's tables have none.
+    """
+    run_id = new_run()
     build_bronze(spark, layers, raw)
     build_silver(spark, layers, as_of=as_of, keys=keys)
     build_gold(spark, layers)
-    build_features(spark, layers)
-    build_scores(spark, layers, model_path, params)
-    apply_governance(spark, layers)
+
+    def learn() -> None:
+        build_features(spark, layers)
+        build_scores(spark, layers, model_path, params, run_id)
+
+    branches = (
+        learn,
+        lambda: build_audit(spark, layers),
+        lambda: apply_governance(spark, layers),
+    )
+    with ThreadPoolExecutor(len(branches)) as pool:
+        for branch in [pool.submit(b) for b in branches]:
+            branch.result()
     return validate.validate(spark, layers)
 
 
@@ -122,23 +160,28 @@ def run_declarative(
 ) -> dict[str, DataFrame]:
     """Drain the streams, then recompute silver and gold in order; returns the gold marts.
 
-    Violations of the expectations are counted while silver is written, and kept as metadata.
+    The sinks are registered as the bronze tables. Violations of the expectations, warnings
+    included, are counted while silver is written, and kept as metadata.
     """
     ensure_namespaces(spark, layers)
-    streamed = ingest_tables(spark, dict(sources), stream_root)
-    observed = {table: Observation() for table in CORE_TABLES}
+    ingest_tables(spark, dict(sources), stream_root)
+    for table in CORE_TABLES:
+        path = f"{stream_root}/tables/{table}"
+        register(spark, layers, "bronze", table, RAW_SCHEMAS[table], path)
+    bronze = core(spark, layers, "bronze")
+    observed = {table: declarative.observations(table) for table in CORE_TABLES}
     save_all(
         {
-            table: declarative.silver_table(table, streamed[table], observation=observation)
-            for table, observation in observed.items()
+            table: declarative.silver_table(table, bronze[table], observed=of_table)
+            for table, of_table in observed.items()
         },
         layers,
         "silver",
     )
     counted = [
         (f"expectation.{table}.{rule}", str(count))
-        for table, observation in observed.items()
-        for rule, count in observation.get.items()
+        for table, of_table in observed.items()
+        for rule, count in declarative.observed_counts(of_table).items()
     ]
     put_metadata(spark, layers, spark.createDataFrame(counted, "key string, value string"))
     clean = core(spark, layers, "silver")

@@ -36,7 +36,7 @@ Order = Sequence[str] | None
 Keys = Mapping[str, str]
 
 
-def dim_employee(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARROW_KEYS) -> DataFrame:
+def dim_employee(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.WIDE_KEYS) -> DataFrame:
     df = clean_keys(raw, "employee_id", order_by)
     return stamp(
         df.select(
@@ -50,7 +50,7 @@ def dim_employee(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARRO
     )
 
 
-def dim_projects(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARROW_KEYS) -> DataFrame:
+def dim_projects(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.WIDE_KEYS) -> DataFrame:
     df = clean_keys(raw, "project_id", order_by)
     parsed = df.select(
         "project_id",
@@ -80,7 +80,7 @@ def dim_projects(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARRO
     )
 
 
-def dim_vendors(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARROW_KEYS) -> DataFrame:
+def dim_vendors(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.WIDE_KEYS) -> DataFrame:
     df = clean_keys(raw, "vendor_id", order_by)
     return stamp(
         df.select(
@@ -102,7 +102,7 @@ def dim_vendors(raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARROW
 
 
 def fact_schedule_milestones(
-    raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARROW_KEYS
+    raw: DataFrame, *, order_by: Order = None, keys: Keys = V.WIDE_KEYS
 ) -> DataFrame:
     df = clean_keys(raw, "milestone_id", order_by)
     parsed = df.select(
@@ -129,7 +129,7 @@ def fact_schedule_milestones(
 
 
 def fact_project_costs(
-    raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARROW_KEYS
+    raw: DataFrame, *, order_by: Order = None, keys: Keys = V.WIDE_KEYS
 ) -> DataFrame:
     df = clean_keys(raw, "cost_id", order_by)
     return stamp(
@@ -149,7 +149,7 @@ def fact_project_costs(
 
 
 def fact_purchase_orders(
-    raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARROW_KEYS
+    raw: DataFrame, *, order_by: Order = None, keys: Keys = V.WIDE_KEYS
 ) -> DataFrame:
     df = clean_keys(raw, "po_id", order_by)
     return stamp(
@@ -174,7 +174,7 @@ def fact_invoices(
     *,
     as_of: str | None = None,
     order_by: Order = None,
-    keys: Keys = V.NARROW_KEYS,
+    keys: Keys = V.WIDE_KEYS,
 ) -> DataFrame:
     df = clean_keys(raw, "invoice_id", order_by)
     parsed = df.select(
@@ -202,7 +202,7 @@ def fact_invoices(
 
 
 def fact_subcontractor_performance(
-    raw: DataFrame, *, order_by: Order = None, keys: Keys = V.NARROW_KEYS
+    raw: DataFrame, *, order_by: Order = None, keys: Keys = V.WIDE_KEYS
 ) -> DataFrame:
     df = clean_keys(raw, "perf_id", order_by)
     repaired = df.select(
@@ -230,14 +230,14 @@ BUILDERS: dict[str, Callable[..., DataFrame]] = {
 
 
 def silver_table(
-    table: str, raw: DataFrame, *, as_of: str | None = None, keys: Keys = V.NARROW_KEYS
+    table: str, raw: DataFrame, *, as_of: str | None = None, keys: Keys = V.WIDE_KEYS
 ) -> DataFrame:
     dated = {"as_of": as_of} if table == "fact_invoices" else {}
     return BUILDERS[table](raw, keys=keys, **dated)
 
 
 def silver_tables(
-    raw: Mapping[str, DataFrame], *, as_of: str | None = None, keys: Keys = V.NARROW_KEYS
+    raw: Mapping[str, DataFrame], *, as_of: str | None = None, keys: Keys = V.WIDE_KEYS
 ) -> dict[str, DataFrame]:
     return {
         table: silver_table(table, raw[table], as_of=as_of, keys=keys) for table in BUILDERS

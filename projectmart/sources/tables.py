@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,26 +67,65 @@ def scan_layer(spark: SparkSession, layers: Layers, layer: str) -> dict[str, Dat
     return {table: scan(spark, layers, layer, table) for table in REGISTRY[layer]}
 
 
-def save(df: DataFrame, layers: Layers, layer: str, table: str, mode: str = "overwrite") -> None:
-    df.write.format(layers.format).mode(mode).saveAsTable(layers.name(layer, table))
+def save(
+    df: DataFrame,
+    layers: Layers,
+    layer: str,
+    table: str,
+    mode: str = "overwrite",
+    *,
+    partition_by: Sequence[str] = (),
+    comment: str | None = None,
+) -> None:
+    """Write a table, if asked in partitions by some columns, so that dated scans read theirs only.
+
+    A comment is declared with the table.
+    """
+    writer = df.write.format(layers.format).mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    name = layers.name(layer, table)
+    writer.saveAsTable(name)
+    if comment is not None:
+        text = comment.replace("\\", "\\\\").replace("'", "\\'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+
+
+def register(
+    spark: SparkSession, layers: Layers, layer: str, table: str, schema: T.StructType, path: str
+) -> None:
+    """Name the files of a folder, such as the sink of a stream, as a table."""
+    name = layers.name(layer, table)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source=layers.format, schema=schema)
 
 
 def exists(spark: SparkSession, layers: Layers, layer: str, table: str) -> bool:
     return spark.catalog.tableExists(layers.name(layer, table))
 
 
-METADATA_SCHEMA = T.StructType(
-    [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
-)
+def new_run() -> str:
+    return uuid.uuid4().hex
 
 
-def put_metadata(spark: SparkSession, layers: Layers, entries: DataFrame) -> DataFrame:
-    """Append ``key, value`` rows to the run metadata and return the table."""
+def put_metadata(
+    spark: SparkSession, layers: Layers, entries: DataFrame, run_id: str | None = None
+) -> DataFrame:
+    """Append ``key, value`` rows of a run to the run metadata and return the table.
+
+    Without a run id, the rows are those of a run of their own.
+    """
     name = layers.name("gold", RUN_METADATA)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (key STRING, value STRING) USING {layers.format}")
-    entries.select(F.col("key").cast("string"), F.col("value").cast("string")).write.mode(
-        "append"
-    ).insertInto(name)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name}"
+        f" (run_id STRING, logged_at TIMESTAMP, key STRING, value STRING) USING {layers.format}"
+    )
+    entries.select(
+        F.lit(run_id or new_run()),
+        F.current_timestamp(),
+        F.col("key").cast("string"),
+        F.col("value").cast("string"),
+    ).write.mode("append").insertInto(name)
     return spark.table(name)
 
 
@@ -93,10 +133,10 @@ def drop_layers(spark: SparkSession, layers: Layers, drop_bronze: bool = False)
     """Drop gold, silver and, if asked, bronze with their schemas; report what remains."""
     targets = [layer for layer in ("gold", "silver", "bronze") if layer != "bronze" or drop_bronze]
     for layer in targets:
-        extra = (RUN_METADATA,) if layer == "gold" else ()
-        for table in (*reversed(REGISTRY[layer]), *extra):
+        for table in reversed(REGISTRY[layer]):
             spark.sql(f"DROP TABLE IF EXISTS {layers.name(layer, table)}")
-        spark.sql(f"DROP SCHEMA IF EXISTS {layers.schema(layer)}")
+        # What else is in the schema, such as reports and metadata, goes with it.
+        spark.sql(f"DROP SCHEMA IF EXISTS {layers.schema(layer)} CASCADE")
     remaining = [
         (layer, table, exists(spark, layers, layer, table))
         for layer, tables in REGISTRY.items()

@@ -20,9 +20,6 @@ from projectmart.sources.tables import Layers, save, scan, shared_folder
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-# Boosting rounds of the registered model queries; the library default is larger.
-ROUNDS = 20
-
 
 class Built(Mapping):
     """Tables that are planned when they are asked for."""
@@ -101,7 +98,7 @@ class Stored:
         pipeline.build_features(spark, self.layers)
         self.features = scan(spark, self.layers, "gold", "ml_feature_table")
         self.training, self.test = model.stratified_split(self.features)
-        self.model: PipelineModel = model.train(self.training, {**V.BOOSTING, "maxIter": ROUNDS})
+        self.model: PipelineModel = model.train(self.training)
         model.save_model(self.model, self.model_path)
         scores = model.score_projects(self.model, self.features)
         save(scores, self.layers, "gold", "ml_project_risk_scores")

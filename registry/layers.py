@@ -19,6 +19,9 @@ for i, table in enumerate(CORE_TABLES, start=1):
     def _(t: Tables, table=table):
         return t.silver[table]
 
+# The order of the declarative tables is that of their names.
+for i, table in enumerate(sorted(CORE_TABLES), start=1):
+
     @query(f"dv_{i}_{table}", f"SELECT * FROM d_{table}")
     def _(t: Tables, table=table):
         return t.declared[table]

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from oracle import core as O
 from projectmart.functions import fixed_values as V
 from projectmart.plans import features, model, serve
-from projectmart.sources.tables import put_metadata
+from projectmart.sources.tables import Layers, ensure_namespaces, put_metadata, shared_folder
 from registry import scalar  # noqa: F401  (the fixed predictions in SQL)
-from registry.base import ROUNDS, Stored, Tables, query, stored_query
+from registry.base import Stored, Tables, query, stored_query
 
 _budget, _actual = f"sum({O.dec('budget_eur')})", f"sum({O.dec('actual_eur')})"
 O.CTES["f_costs"] = f"""
@@ -147,19 +150,31 @@ def _(t: Tables):
     return model.encode(t.features).select("project_id", *[f"{c}_code" for c in model.CATEGORIES])
 
 
-@query("ml_2_stratified_split")
+@query(
+    "ml_2_stratified_split",
+    "SELECT is_over_budget, count(*) AS all_rows, TRUE AS near_a_fifth FROM f_table GROUP BY 1",
+)
 def _(t: Tables):
     marked = model.with_split(t.features.select("project_id", "is_over_budget"))
+    # The cut is a quantile: a class may be a row off, and the sketch a hundredth.
+    off = F.abs(F.count_if("_test") - F.count("*") * V.TEST_FRACTION)
     return marked.groupBy("is_over_budget").agg(
-        F.count_if("_test").alias("test_rows"), F.count("*").alias("all_rows")
+        F.count("*").alias("all_rows"),
+        (off <= F.count("*") * 0.01 + 1).alias("near_a_fifth"),
     )
 
 
-@stored_query("ml_3_train")
+def _probable() -> Column:
+    return F.col("overrun_probability").between(0, 1)
+
+
+@stored_query("ml_3_train", "SELECT count(*) AS \"rows\", TRUE AS probable, 300 AS trees FROM f_table")
 def _(s: Stored):
-    fitted = model.train(s.training, {**V.BOOSTING, "maxIter": ROUNDS}, exclude=("total_actual",))
-    return model.predict(fitted, s.test).agg(
-        F.count("*").alias("rows"), F.avg("overrun_probability").alias("avg_probability")
+    fitted = model.train(s.training, exclude=("total_actual",))
+    return model.predict(fitted, s.features).agg(
+        F.count("*").alias("rows"),
+        F.every(_probable()).alias("probable"),
+        F.lit(fitted.stages[-1].getNumTrees).alias("trees"),
     )
 
 
@@ -172,9 +187,17 @@ def _(t: Tables):
     return model.class_weights(t.features.select("is_over_budget"))
 
 
-@stored_query("ml_5_predict")
+@stored_query(
+    "ml_5_predict", "SELECT project_id, is_over_budget, TRUE AS probable, TRUE AS agrees FROM f_table"
+)
 def _(s: Stored):
-    return model.predict(s.model, s.test)
+    hard = (F.col("overrun_probability") > 0.5).cast("int")
+    return model.predict(s.model, s.features).select(
+        "project_id",
+        "is_over_budget",
+        _probable().alias("probable"),
+        (F.col("predicted") == hard).alias("agrees"),
+    )
 
 
 O.CTES["p_labelled"] = """
@@ -217,38 +240,53 @@ def _(t: Tables):
     return model.classification_report(t.labelled_predictions)
 
 
-@stored_query(
+@query(
     "ml_8_log_run",
     "SELECT 'label.' || is_over_budget AS \"key\", CAST(count(*) AS VARCHAR) AS \"value\""
     " FROM f_table GROUP BY is_over_budget",
 )
-def _(s: Stored):
-    counts = features.label_distribution(s.features)
+def _(t: Tables):
+    layers = Layers(f"run_{uuid.uuid4().hex}_", shared_folder(t.spark))
+    ensure_namespaces(t.spark, layers)
+    counts = features.label_distribution(t.features)
     entries = counts.select(
         F.concat(F.lit("label."), F.col("is_over_budget").cast("string")).alias("key"),
         F.col("count").cast("string").alias("value"),
     )
-    return put_metadata(s.spark, s.layers, entries).filter("key LIKE 'label.%'").distinct()
+    return put_metadata(t.spark, layers, entries).select("key", "value")
 
 
-@stored_query("ml_9_saved_model")
+@stored_query("ml_9_saved_model", "SELECT count(*) AS \"rows\", 0 AS different FROM f_table")
 def _(s: Stored):
     loaded = model.load_model(s.model_path)
-    again = model.predict(loaded, s.test).withColumnRenamed("overrun_probability", "reloaded")
-    return again.join(model.predict(s.model, s.test), "project_id").agg(
+    again = model.predict(loaded, s.features).withColumnRenamed("overrun_probability", "reloaded")
+    return again.join(model.predict(s.model, s.features), "project_id").agg(
         F.count("*").alias("rows"),
         F.count_if(F.col("reloaded") != F.col("overrun_probability")).alias("different"),
     )
 
 
-@stored_query("ml_10_feature_importance")
+_names = [f"{c}_number" for c in model.CATEGORIES] + [c for columns in NUMBERS.values() for c in columns]
+
+
+@stored_query(
+    "ml_10_feature_importance",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS measured" for c in _names),
+)
 def _(s: Stored):
-    return model.feature_importance(s.model, s.test)
+    measured = F.col("gain").between(0, 1) & F.col("loss_increase").isNotNull()
+    return model.feature_importance(s.model, s.test).select("feature", measured.alias("measured"))
 
 
-@stored_query("ml_11_score_projects")
+@stored_query(
+    "ml_11_score_projects", "SELECT project_id, TRUE AS probable, TRUE AS in_bucket FROM f_table"
+)
 def _(s: Stored):
-    return model.score_projects(s.model, s.features).drop("scored_at")
+    p = F.col("overrun_probability")
+    level = F.when(p <= 0.3, "low").when(p <= 0.7, "medium").otherwise("high")
+    return model.score_projects(s.model, s.features).select(
+        "project_id", _probable().alias("probable"), (F.col("risk_level") == level).alias("in_bucket")
+    )
 
 
 @query(

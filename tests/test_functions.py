@@ -161,6 +161,24 @@ def test_rounding_follows_decimal_digits(spark):
     assert applied(df, N.round_half_up(F.col("x"), 2)) == [1.01, -1.01, 2.68]
 
 
+def test_values_are_rounded_once(spark):
+    df = spark.createDataFrame([(0, 0.12499999996), (1, 33.33499999997), (2, 2e14)], "i int, x double")
+    assert applied(df, N.round_half_up(F.col("x"), 2)) == [0.12, 33.33, 2e14]
+
+
+def test_percentages_of_both_paths(spark):
+    df = spark.createDataFrame([(0, 23, 160), (1, 29, 800), (2, 41, 160)], "i int, n int, d int")
+    n, d = F.col("n"), F.col("d")
+    # One divides first, the other multiplies first: 23 / 160 * 100 is a little below 14.375, and so on.
+    assert applied(df, A.pct(n, d)) == [14.37, 3.62, 25.62]
+    assert applied(df, A.hundredths(n, d)) == [14.38, 3.63, 25.63]
+
+
+def test_large_amounts_are_summed_exactly(spark):
+    df = spark.createDataFrame([(2e14,), (0.01,), (0.02,)], "x double")
+    assert df.agg(A.money_total(F.col("x")).cast("string")).collect()[0][0] == "200000000000000.0300"
+
+
 def test_ratio_of_zero_and_unknown(spark):
     df = spark.createDataFrame([(0, 1, 8), (1, 1, 0), (2, 1, None)], "i int, n int, d int")
     assert applied(df, A.pct(F.col("n"), F.col("d"))) == [12.5, None, None]

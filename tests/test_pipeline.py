@@ -12,8 +12,11 @@ from projectmart.sources.schemas import CORE_TABLES, RAW_SCHEMAS
 from projectmart.sources.tables import (
     Layers,
     drop_layers,
+    ensure_namespaces,
     exists,
     preview,
+    put_metadata,
+    save,
     scan,
     shared_folder,
     stored_inventory,
@@ -168,8 +171,71 @@ def test_stream_then_recompute_equals_batch_read(spark, stored, small):
     expected = {
         f"expectation.{r['table']}.{r['rule']}": str(r["violations"]) for r in report.collect()
     }
-    kept = spark.table(Layers("declared_", root).name("gold", "run_metadata")).collect()
+    warned = declarative.expectation_report(raw, declarative.warning_rules())
+    expected |= {
+        f"expectation.{r['table']}.{r['rule']}": str(r["violations"]) for r in warned.collect()
+    }
+    # Rows without key are counted one by one, not as the row that would stay of them.
+    for table, rules in declarative.required_rules().items():
+        key, rule = RAW_SCHEMAS[table].fieldNames()[0], next(iter(rules))
+        without = raw[table].filter(F.col(key).isNull()).count()
+        expected[f"expectation.{table}.{rule}"] = str(without)
+    declared = Layers("declared_", root)
+    kept = spark.table(declared.name("gold", "run_metadata")).collect()
+    assert len(kept) == 25 and len({r["run_id"] for r in kept}) == 1
     assert expected.items() <= {r["key"]: r["value"] for r in kept}.items()
+    # The sinks are tables, so that single tables can be refreshed afterwards.
+    for table in CORE_TABLES:
+        assert scan(spark, declared, "bronze", table).count() == raw[table].count()
+    pipeline.refresh(spark, declared, "silver", "fact_invoices")
+    pipeline.refresh(spark, declared, "gold", "gold_invoice_aging", as_of=fixtures.AS_OF)
+    again = scan(spark, declared, "gold", "gold_invoice_aging")
+    assert again.exceptAll(direct["gold_invoice_aging"]).count() == 0
+
+
+def test_rows_without_key_reach_no_shuffle(spark, stored):
+    raw = scan(spark, stored[0], "bronze", "fact_invoices")
+    for observed in (None, declarative.observations("fact_invoices")):
+        df = declarative.silver_table("fact_invoices", raw, observed=observed)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        window, below = plan.split("Window [", 1)
+        assert "isnotnull(invoice_id" in below
+
+
+def test_audit_and_model_reports_are_stored(spark, stored):
+    layers, _ = stored
+    score = scan(spark, layers, "gold", "audit_scorecard").collect()[0]
+    assert score["total_checks"] == 21 and score["band"] in ("green", "amber", "red")
+    assert scan(spark, layers, "gold", "audit_keys").count() == 8
+    assert scan(spark, layers, "gold", "audit_enums").count() == 5
+    nulls = scan(spark, layers, "gold", "audit_nulls")
+    assert nulls.filter("column = 'actual_end_date_dt'").count() == 1
+    report = scan(spark, layers, "gold", "ml_classification_report").collect()
+    predictions = scan(spark, layers, "gold", "ml_test_predictions").count()
+    assert sum(r["support"] for r in report) == predictions
+    assert scan(spark, layers, "gold", "ml_feature_importance").count() == 34
+
+
+def test_metadata_tells_runs_apart(spark):
+    layers = Layers("runs_", shared_folder(spark))
+    ensure_namespaces(spark, layers)
+    entries = spark.createDataFrame([("k", "v")], "key string, value string")
+    for _ in range(2):
+        kept = put_metadata(spark, layers, entries)
+    assert kept.count() == 2 and kept.select("run_id").distinct().count() == 2
+
+
+def test_partitions_prune_and_comments_are_declared(spark):
+    layers = Layers("parts_", shared_folder(spark))
+    ensure_namespaces(spark, layers)
+    df = spark.range(20).withColumn("month", (F.col("id") % 4).cast("string"))
+    save(df, layers, "gold", "monthly", partition_by=["month"], comment="it's \\ by month")
+    read = scan(spark, layers, "gold", "monthly").filter("month = '2'")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and read.count() == 5
+    name = layers.name("gold", "monthly")
+    rows = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert rows["Comment"] == "it's \\ by month"
 
 
 def test_drop_keeps_bronze_unless_asked(spark, small):
