@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from projectmart.llm.arrays import blocks
 from projectmart.llm.storage import stored, work_folder
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 # Text whose names meet in one bucket.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 32 << 20
 NULL_ID = -(2**63)
 # Keys only sort out candidates: 40 bits and those of the bucket will do.
 KEY_BITS = 40
@@ -153,52 +153,52 @@ class Shard:
         return np.flatnonzero(bits[self.key_place])
 
     # Step 2: stretches.
-    def spans(self):
-        """Candidate stretches, their places among the different (key, span) of the shard, and of
-        those key, name, smallest document and cuts."""
+    def spans(self, compare=None):
+        """Candidate stretches, their places among the different (key, name) of the shard, and of
+        those key, name and smallest document.
+
+        With ``compare``, only one stretch of each class of equal spans is named.
+        """
         at = self.repeated()
-        place = self.parsed.span_classes(self.start[at], self.length[at])
-        first = _first_of_each(place)
+        place, first = _classes(compare, self.start[at], self.length[at])
         name = self.parsed.span_names(self.start[at][first], self.length[at][first])
         key = self.key[at][first]
         order = np.lexsort((name, key))
+        key, name = key[order], name[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (name[1:] != name[:-1]))[: len(key)]
         back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
+        back[order] = np.cumsum(new) - 1
         place = back[place]
-        return at, place, key[order], name[order], _least(self.doc[at], place, len(order))
+        return at, place, key[new], name[new], _least(self.doc[at], place, int(new.sum()))
 
     def ask_spans(self):
-        _, _, key, name, doc = self.spans()
+        _, _, key, name, doc = self.spans(self.parsed.span_classes)
         for bucket, low, high in self.cuts(key, KEY_BITS):
             yield bucket, _narrow(key[low:high]), name[low:high].tobytes(), _zip(doc[low:high])
 
     def settled(self):
-        """(window starts to remove, stretches whose windows are asked for one by one)."""
+        """(stretches to remove, stretches whose windows are asked for one by one)."""
         at, place, key, _, doc = self.spans()
         smaller, still_open = self.answer(1, self.cuts(key, KEY_BITS), len(key))
         gone = smaller[place] | (self.doc[at] > doc[place])
-        single = still_open[place]
-        return at[gone], at[single & ~gone], at[single]
+        return at[gone], at[still_open[place]]
 
     # Step 3: windows.
-    def windows(self, stretches: np.ndarray):
+    def windows(self, stretches: np.ndarray, compare=None):
         """Window starts of stretches, their places among the different windows, and of those name
-        and smallest document, in the order of names."""
+        and smallest document, in the order of names. ``compare`` is as for spans."""
         length = self.length[stretches]
         start = np.repeat(self.start[stretches], length) + (
             np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
         )
         doc = np.repeat(self.doc[stretches], length)
-        place = self.parsed.window_classes(start)
-        name = self.parsed.window_names(start[_first_of_each(place)])
-        order = np.argsort(name, kind="stable")
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
+        place, first = _classes(compare, start)
+        name, back = np.unique(self.parsed.window_names(start[first]), return_inverse=True)
         place = back[place]
-        return start, doc, place, name[order], _least(doc, place, len(order))
+        return start, doc, place, name, _least(doc, place, len(name))
 
     def ask_windows(self, stretches: np.ndarray):
-        _, _, _, name, doc = self.windows(stretches)
+        _, _, _, name, doc = self.windows(stretches, self.parsed.window_classes)
         for bucket, low, high in self.cuts(name, 64 - self.bucket_bits):
             yield bucket, name[low:high].tobytes(), b"", _zip(doc[low:high])
 
@@ -208,11 +208,14 @@ class Shard:
         return start[smaller[place] | (doc > least[place])]
 
 
-def _first_of_each(place: np.ndarray) -> np.ndarray:
-    """The first index of each class; classes are numbered from 0 without gaps."""
-    first = np.empty(place.max() + 1 if len(place) else 0, np.int64)
+def _classes(compare, start: np.ndarray, *rest) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each string, numbered from 0 without gaps, and the first string of each class."""
+    if compare is None or not len(start):
+        return np.arange(len(start)), np.arange(len(start))
+    place = compare(start, *rest)
+    first = np.empty(place.max() + 1, np.int64)
     first[place[::-1]] = np.arange(len(place) - 1, -1, -1)
-    return first
+    return place, first
 
 
 def _least(doc: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
@@ -374,10 +377,10 @@ def remove_repeats(docs: DataFrame, finder, by_spans: bool, folder: str | None =
     answers = [step([], Shard.ask_keys, _answer_keys)]
     if by_spans:
         answers.append(step(answers, Shard.ask_spans, _answer_spans))
-        answers.append(step(answers, lambda s: s.ask_windows(s.settled()[2]), _answer_windows))
+        answers.append(step(answers, lambda s: s.ask_windows(s.settled()[1]), _answer_windows))
 
         def removed(shard: Shard):
-            gone, left, single = shard.settled()
+            gone, single = shard.settled()
             starts = shard.repeated_windows(single, 2)
             return [(shard.start[gone], shard.length[gone]), (starts, np.ones_like(starts))]
 

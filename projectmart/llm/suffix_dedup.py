@@ -52,17 +52,13 @@ def suffix_array(data: np.ndarray, eight: np.ndarray) -> tuple[np.ndarray, np.nd
     while len(open_slots):
         suffix = order[open_slots]
         after = suffix + shift
-        # An end that comes later sorts first: the shorter suffix is the smaller one.
-        second = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        tie = np.where(after < n, 0, n - suffix)
-        sort = np.lexsort((tie, second, rank[suffix]))
-        suffix, second, tie = suffix[sort], second[sort], tie[sort]
+        # A suffix that ends within the bytes compared comes first, the shorter one before.
+        second = np.where(after < n, shift + 1 + rank[np.minimum(after, n - 1)], n - suffix)
+        joint = rank[suffix] * (2 * n + shift + 1) + second
+        sort = np.argsort(joint)
+        suffix, joint = suffix[sort], joint[sort]
         order[open_slots] = suffix
-        old = rank[suffix]
-        new = np.append(
-            True,
-            (old[1:] != old[:-1]) | (second[1:] != second[:-1]) | (tie[1:] != tie[:-1]),
-        )
+        new = np.append(True, joint[1:] != joint[:-1])
         rank[suffix] = np.maximum.accumulate(np.where(new, open_slots, 0))
         alone = new & np.append(new[1:], True)
         open_slots = open_slots[~alone]
@@ -87,13 +83,9 @@ def common_prefixes(data: np.ndarray, eight: np.ndarray, order: np.ndarray) -> n
         differ = eight[x] ^ eight[y]
         # Equal leading bytes of two numbers; not beyond the end of the text.
         equal = np.full(len(x), 8, np.int64)
-        some = differ != 0
-        equal[some] = (63 - np.floor(np.log2(differ[some].astype(np.float64))).astype(np.int64)) // 8
-        # Rounding up in floating point may take one byte too few.
-        short = some & (equal < 7)
-        up = np.minimum(equal + 1, 7).astype(np.uint64)
-        same = (differ >> (np.uint64(64) - np.uint64(8) * up)) == 0
-        equal[short & same] += 1
+        some = np.flatnonzero(differ)
+        bits = differ[some]
+        equal[some] = sum((bits >> np.uint64(64 - 8 * k)) == 0 for k in range(1, 8))
         equal = np.minimum(equal, np.minimum(n - x, n - y))
         reach[active] += equal
         active = active[equal == 8]
@@ -171,8 +163,6 @@ class Bytes:
         return key[first], at[first], length, text[first]
 
     def span_classes(self, start, length):
-        if not len(start):
-            return np.zeros(0, np.int64)
         size = length + self.width - 1
         return Regions(self.data, start, size).classes(start, size)
 
@@ -180,8 +170,6 @@ class Bytes:
         return self._hasher.spans(self._sums, start, start + length + self.width - 1)
 
     def window_classes(self, start):
-        if not len(start):
-            return np.zeros(0, np.int64)
         size = np.full(len(start), self.width)
         return Regions(self.data, start, size).classes(start, size)
 
