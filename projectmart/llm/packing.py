@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from projectmart.llm.storage import stored, work_folder
-from projectmart.llm.tokens import Memo, load, space_chunks, tokenizer_path
+from projectmart.llm.tokens import ChunkIds, Memo, load, space_chunks, tokenizer_path
 
 CAPACITY = 1024
 END = (0).to_bytes(4, "little")
@@ -41,13 +41,9 @@ PACKED = (
 )
 
 
-def _ids(encoding) -> bytes:
-    return np.array(encoding.ids, "<u4").tobytes()
-
-
 def _pieces(name: str, capacity: int):
     def run(batches):
-        memo = Memo(load(tokenizer_path(name)), _ids)
+        memo = Memo(ChunkIds(load(tokenizer_path(name))))
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             ids, texts = batch.column(0).cast(pa.int64()), pc.fill_null(batch.column(1), "")

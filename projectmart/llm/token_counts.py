@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from projectmart.llm.arrays import binary
 from projectmart.llm.storage import work_folder
-from projectmart.llm.tokens import Memo, load, tokenizer_path, white_chunks
+from projectmart.llm.tokens import Memo, chunk_counts, load, tokenizer_path, white_chunks
 
 LIMIT = 2048
 BLOCK_TEXTS = 256
@@ -41,8 +41,7 @@ def tokenizer_digest(path: str) -> str:
 
 def _counter(name: str):
     def run(batches):
-        tokenizer = load(tokenizer_path(name))
-        memo = Memo(tokenizer, len, bytes.decode)
+        memo = Memo(chunk_counts(load(tokenizer_path(name))))
         for batch in batches:
             digests, texts = batch.column(0), binary(batch.column(1))
             for low in range(0, batch.num_rows, BLOCK_TEXTS):

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
+import struct
+from collections.abc import Callable, Iterable, Iterator
 
 # Chunks kept by a task, and the longest chunk that is kept.
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 800_000
 MEMO_CHARS = 64
 
 
@@ -34,28 +35,21 @@ def tokenizer_path(name: str) -> str:
 
 
 class Memo:
-    """``value`` of the encoding of each chunk, for the chunks of one block of texts and, up to the
-    bound, those of earlier blocks."""
+    """``encode`` of each chunk, for the chunks of one block of texts and, up to the bound, those of
+    earlier blocks."""
 
-    def __init__(self, tokenizer, value: Callable, decode: Callable = lambda x: x):
-        self._tokenizer, self._value, self._decode = tokenizer, value, decode
+    def __init__(self, encode: Callable[[list], Iterable]):
+        self._encode = encode
         self._known: dict = {}
 
-    def values(self, lists: list[list]) -> dict:
+    def values(self, lists: Iterable[Iterable]) -> dict:
         known = self._known
         if len(known) > MEMO_CHUNKS:
             known.clear()
-        new = {c for chunks in lists for c in chunks if c not in known}
+        new = list(set().union(*lists).difference(known))
         if not new:
             return known
-        new = list(new)
-        found, most = dict.fromkeys(()), 4096
-        for low in range(0, len(new), most):
-            part = new[low : low + most]
-            encoded = self._tokenizer.encode_batch_fast(
-                [self._decode(c) for c in part], add_special_tokens=False
-            )
-            found.update(zip(part, map(self._value, encoded)))
+        found = dict(zip(new, self._encode(new)))
         if all(len(c) <= MEMO_CHARS for c in new):
             known.update(found)
             return known
@@ -63,23 +57,100 @@ class Memo:
         return {**known, **found}
 
 
+def encodings(tokenizer, chunks: list[str]) -> Iterator:
+    for low in range(0, len(chunks), 4096):
+        part = chunks[low : low + 4096]
+        yield from tokenizer.encode_batch_fast(part, add_special_tokens=False)
+
+
+def chunk_counts(tokenizer) -> Callable[[list[bytes]], Iterable[int]]:
+    """Numbers of tokens of chunks."""
+    return lambda chunks: map(len, encodings(tokenizer, [c.decode() for c in chunks]))
+
+
+_FORMATS = [f"<{n}I" for n in range(33)]
+
+
+def id_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    few = len(ids) < len(_FORMATS)
+    return struct.pack(_FORMATS[len(ids)] if few else f"<{len(ids)}I", *ids)
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for
+    themselves, the others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
+# Latin letters and common marks. In a chunk of lines of such words, the pattern of the tokenizer
+# takes each word (with its space), each run of marks and each line break by itself.
+_WORD = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+_MARKS = r"[.,;:!?%&$*#]*"
+_SIMPLE = re.compile(rf" ?{_WORD}{_MARKS}(?:\n{_WORD}{_MARKS})*")
+_WORD_AND_MARKS = re.compile(rf"( ?{_WORD})({_MARKS})")
+_PIECE = re.compile(rf" ?{_WORD}|{_MARKS[:-1]}+|\n")
+
+
+class ChunkIds:
+    """Ids of the chunks of a byte-level tokenizer, as bytes.
+
+    Pieces of simple chunks go to the model of the tokenizer at once, without its normaliser and
+    pattern; all other chunks go through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer):
+        self._tokenizer, self._model = tokenizer, tokenizer.model
+        self._characters = _byte_characters()
+        self._pieces = Memo(self._piece_ids)
+
+    def _piece_ids(self, pieces: list[str]) -> Iterator[bytes]:
+        space, tokenize = self._characters[ord(" ")], self._model.tokenize
+        for piece in pieces:
+            if piece.isascii() and piece != "\n":
+                spelled = space + piece[1:] if piece[:1] == " " else piece
+            else:
+                spelled = piece.encode().decode("latin-1").translate(self._characters)
+            yield id_bytes([token.id for token in tokenize(spelled)])
+
+    def __call__(self, chunks: list) -> list[bytes]:
+        texts = [" " + c if isinstance(c, str) else c[0] for c in chunks]
+        split = []
+        for chunk, text in zip(chunks, texts):
+            if isinstance(chunk, str) and chunk.isascii() and chunk.isalpha():
+                split.append((text,))
+            elif word := _WORD_AND_MARKS.fullmatch(text):
+                split.append(word.groups())
+            else:
+                split.append(_PIECE.findall(text) if _SIMPLE.fullmatch(text) else None)
+        known = self._pieces.values(p for p in split if p)
+        other = [t for t, p in zip(texts, split) if p is None]
+        ids = (id_bytes(e.ids) for e in encodings(self._tokenizer, other))
+        return [next(ids) if p is None else b"".join(map(known.__getitem__, p)) for p in split]
+
+
 def white_chunks(text: bytes) -> list[bytes]:
     """Chunks of a text for tokenizers that drop white space: cut at ASCII white space."""
     return text.split()
 
 
-_AFTER_WHITE = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
+# White space of any tokenizer's pattern, and a little more.
+_WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_CUT = re.compile(r"(?<=\S) ")
 
 
-def space_chunks(text: str) -> list[str]:
+def space_chunks(text: str) -> list:
     """Chunks of a text for byte-level tokenizers: each but the first starts at a space that
     follows no white space. The pattern of the tokenizer takes a space together with what follows
-    it, so nothing goes across such a cut."""
-    if not text:
-        return []
-    if _AFTER_WHITE.search(text):
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    chunks = [" " + x for x in rest]
-    return [first, *chunks] if first else chunks
+    it, so nothing goes across such a cut.
+
+    The first chunk is a tuple of its string; the others are given without the space they start at.
+    """
+    if any(w + " " in text for w in _WHITE):
+        chunks = _CUT.split(text)
+    else:
+        chunks = text.split(" ")
+    chunks[0] = (chunks[0],)
+    return chunks
