@@ -76,15 +76,23 @@ def keep_bitmaps(docs: DataFrame, folder: str, least_length: int = 40, least_doc
     streamed = lines.repartitionByRange("h1", "h2", "salt").withColumn(
         "first_of_doc", F.coalesce(F.lag("_doc").over(in_range) != F.col("_doc"), F.lit(True))
     )
-    repeated = (
+    salted = (
         streamed.filter("first_of_doc")
-        .groupBy("h1", "h2")
-        .agg(F.count("*").alias("n_docs"), F.max("_doc").alias("holder"))
+        .groupBy("h1", "h2", "salt")
+        .agg(F.count("*").alias("n"), F.max("_doc").alias("last"))
+    )
+    # At most as many rows of a key as there are salts; the join keeps the salt, so that no task
+    # receives all lines of a key.
+    of_key = Window.partitionBy("h1", "h2")
+    repeated = (
+        salted.withColumns(
+            {"n_docs": F.sum("n").over(of_key), "holder": F.max("last").over(of_key)}
+        )
         .filter(F.col("n_docs") >= least_docs)
-        .select("h1", "h2", "holder")
+        .select("h1", "h2", "salt", "holder")
     )
     dropped = (
-        lines.join(repeated, ["h1", "h2"])
+        lines.join(repeated, ["h1", "h2", "salt"])
         .filter(F.col("_doc") != F.col("holder"))
         .groupBy("_doc", "_digest")
         .agg(
