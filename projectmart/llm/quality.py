@@ -188,8 +188,12 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = METHOD_RULES) -> DataFrame:
     measured = text_metrics(docs)
     # The base decides in whole numbers, so that no rounding of a ratio matters.
     base = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
+    verdict = ~F.col("base_failed") & (F.size("failed") == 0)
+    # An expression that is not a function of the row holds filters above the metrics. Pushed below
+    # them, a filter would repeat the expressions of all metrics, and those they are made of.
+    here = F.monotonically_increasing_id() >= 0
     return measured.withColumns({"base_failed": base, "failed": failed_rules(rules)}).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("failed") == 0)
+        "kept", verdict & here
     )
 
 
@@ -198,8 +202,5 @@ def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = METHOD_RULES) ->
     # The whole row travels as one struct: its own columns cannot clash with those of the metrics.
     names = docs.columns
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), "text")
-    # A column that is not a function of the row holds the filter above the projection. Pushed below
-    # it, the filter would repeat the expressions of all metrics, and those they are made of.
-    judged = judge(packed, rules).withColumn("_order", F.monotonically_increasing_id())
-    kept = judged.filter(F.col("kept") & (F.col("_order") >= 0))
+    kept = judge(packed, rules).filter("kept")
     return kept.select(*(f"_row.`{c}`" for c in names))
