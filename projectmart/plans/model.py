@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,19 +30,61 @@ def known_categories(features: DataFrame) -> DataFrame:
     return features.fillna("unknown", subset=list(CATEGORIES))
 
 
-def _indexer() -> StringIndexer:
-    return StringIndexer(
-        inputCols=list(CATEGORIES),
-        outputCols=[f"{c}_code" for c in CATEGORIES],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
+@dataclass(frozen=True)
+class Overrun:
+    """A fitted model: the codes of the categories, and vectors and trees on coded rows."""
+
+    codes: DataFrame
+    pipeline: PipelineModel
+
+
+def category_codes(features: DataFrame) -> DataFrame:
+    """(column, value, code): the place of every category in alphabetical order, from 0.
+
+    The distinct values are sorted in ranges, numbered inside each range, and moved on by the counts
+    of the ranges before: neither a task nor the driver sees all values of an open column. The
+    sorted values are checkpointed, since ranges drawn anew could differ.
+    """
+    ensure_checkpoints(features.sparkSession)
+    pairs = [
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in CATEGORIES
+    ]
+    values = known_categories(features).select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    ranges = (
+        values.distinct()
+        .repartitionByRange("column", "value")
+        .sortWithinPartitions("column", "value")
+        .select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("n"))
+        .checkpoint()
+    )
+    sizes = ranges.groupBy("column", "part").agg(
+        F.count("*").alias("size"), F.min("n").alias("first")
+    )
+    before = Window.partitionBy("column").orderBy("part")
+    moved = sizes.select(
+        "column", "part", (F.sum("size").over(before) - F.col("size") - F.col("first")).alias("by")
+    )
+    return ranges.join(moved, ["column", "part"]).select(
+        "column", "value", (F.col("n") + F.col("by")).alias("code")
     )
 
 
+def with_codes(features: DataFrame, codes: DataFrame, suffix: str = "code") -> DataFrame:
+    """Codes of the categories as numbers; a category without code gets the number of codes."""
+    coded = known_categories(features)
+    for c in CATEGORIES:
+        of_column = codes.filter(F.col("column") == c)
+        number = of_column.agg(F.count("*").alias("n")).scalar()
+        coded = coded.join(
+            of_column.select(F.col("value").alias(c), F.col("code").alias("_code")), c, "left"
+        ).withColumn(f"{c}_{suffix}", F.coalesce("_code", number).cast("double"))
+        coded = coded.drop("_code")
+    return coded
+
+
 def encode(features: DataFrame) -> DataFrame:
     """Categories as codes in alphabetical order; an unknown category is ``unknown``."""
-    known = known_categories(features).drop("ingestion_timestamp")
-    return _indexer().fit(known).transform(known)
+    return with_codes(features.drop("ingestion_timestamp"), category_codes(features))
 
 
 def with_split(
@@ -97,30 +140,27 @@ def train(
     features: DataFrame,
     params: Mapping[str, float] = V.BOOSTING,
     exclude: Sequence[str] = (),
-) -> PipelineModel:
+) -> Overrun:
     """Boosted trees on balanced classes.
 
-    Category codes enter as plain numbers: their arithmetic drops the nominal metadata, so the
-    number of categories is not limited by the number of bins. Boosting runs a job per tree level,
-    so the rows are first spread evenly over the cores. Every tenth round is checkpointed, which keeps the lineage short and a lost executor cheap.
+    Category codes enter as plain numbers, so the number of categories is not limited by the number
+    of bins. Boosting runs a job per tree level,
+    so the rows are first dealt out anew; adaptive execution makes as many parts of them as their
+    size calls for. Every tenth round is checkpointed, which keeps the lineage short and a lost executor cheap.
     """
-    numbers = ", ".join(f"{c}_code + 0.0D AS {c}_number" for c in CATEGORIES)
     inputs = model_features(features, exclude)
     stages = [
-        _indexer(),
-        SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"),
         VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
         GBTClassifier(labelCol=LABEL, weightCol="weight", **params),
     ]
-    weighted = with_weights(known_categories(features))
-    ensure_checkpoints(features.sparkSession)
-    parts = features.sparkSession.sparkContext.defaultParallelism
-    return Pipeline(stages=stages).fit(weighted.repartition(parts))
+    codes = category_codes(features).checkpoint()
+    weighted = with_weights(with_codes(features, codes, "number"))
+    return Overrun(codes, Pipeline(stages=stages).fit(weighted.repartition(ID)))
 
 
-def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
+def predict(model: Overrun, features: DataFrame) -> DataFrame:
     """Probability of an overrun and the hard label per project."""
-    scored = model.transform(known_categories(features))
+    scored = model.pipeline.transform(with_codes(features, model.codes, "number"))
     kept = [c for c in (ID, LABEL) if c in features.columns]
     return scored.select(
         *kept,
@@ -186,12 +226,14 @@ def log_run(
     return put_metadata(spark, layers, entries, run_id)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: Overrun, path: str) -> None:
+    model.codes.write.mode("overwrite").parquet(f"{path}/codes")
+    model.pipeline.write().overwrite().save(f"{path}/trees")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> Overrun:
+    codes = SparkSession.active().read.parquet(f"{path}/codes")
+    return Overrun(codes, PipelineModel.load(f"{path}/trees"))
 
 
 def _log_loss(label: Column, probability: Column) -> Column:
@@ -199,16 +241,16 @@ def _log_loss(label: Column, probability: Column) -> Column:
     return -F.log(F.when(label == 1, bounded).otherwise(1 - bounded))
 
 
-def feature_importance(model: PipelineModel, rows: DataFrame, seed: int = 42) -> DataFrame:
+def feature_importance(model: Overrun, rows: DataFrame, seed: int = 42) -> DataFrame:
     """Split-gain importance, and the rise of the log loss when a feature is permuted.
 
     Rows are put into buckets of about a thousand by a hash of their id, and every row borrows
     values from the next row of its bucket. That one shuffle serves all features: each row is then
     scored once per feature with that feature borrowed, and once unchanged.
     """
-    *preparation, trees = model.stages
-    names = preparation[-1].getInputCols()
-    prepared = PipelineModel(preparation).transform(known_categories(rows))
+    assembler, trees = model.pipeline.stages
+    names = assembler.getInputCols()
+    prepared = assembler.transform(with_codes(rows, model.codes, "number"))
     vectors = prepared.select(ID, LABEL, vector_to_array("features").alias("x"))
     buckets = vectors.agg(
         F.ceil(F.count("*") / ROWS_PER_BUCKET).alias("n")
@@ -227,15 +269,18 @@ def feature_importance(model: PipelineModel, rows: DataFrame, seed: int = 42) ->
     )
     loss = _log_loss(F.col(LABEL), vector_to_array("probability")[1])
     losses = scored.groupBy("j").agg(F.avg(loss).alias("loss"))
-    unchanged = losses.filter("j = -1").select("loss").scalar()
+    # The loss of the unchanged rows, over the few aggregated rows instead of a second pass.
+    everything = Window.partitionBy(F.lit(0))
+    base = F.max(F.when(F.col("j") == -1, F.col("loss"))).over(everything)
     gains = trees.featureImportances.toArray().tolist()
     names_column, gains_column = F.array(*map(F.lit, names)), F.array(*map(F.lit, gains))
     return (
-        losses.filter("j >= 0")
+        losses.withColumn("base", base)
+        .filter("j >= 0")
         .select(
             F.get(names_column, F.col("j")).alias("feature"),
             F.get(gains_column, F.col("j")).alias("gain"),
-            (F.col("loss") - unchanged).alias("loss_increase"),
+            (F.col("loss") - F.col("base")).alias("loss_increase"),
         )
         .orderBy(F.desc("loss_increase"), F.desc("gain"), "feature")
     )
@@ -245,7 +290,7 @@ def with_risk_level(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("risk_level", risk_bucket(F.col("overrun_probability")))
 
 
-def score_projects(model: PipelineModel, features: DataFrame) -> DataFrame:
+def score_projects(model: Overrun, features: DataFrame) -> DataFrame:
     """Probability and level of every project."""
     scored = with_risk_level(predict(model, features))
     return stamp(scored.select(ID, "overrun_probability", "risk_level"), "scored_at")

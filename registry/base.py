@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,7 +97,7 @@ class Stored:
         pipeline.build_features(spark, self.layers)
         self.features = scan(spark, self.layers, "gold", "ml_feature_table")
         self.training, self.test = model.stratified_split(self.features)
-        self.model: PipelineModel = model.train(self.training)
+        self.model = model.train(self.training)
         model.save_model(self.model, self.model_path)
         scores = model.score_projects(self.model, self.features)
         save(scores, self.layers, "gold", "ml_project_risk_scores")

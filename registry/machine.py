@@ -174,7 +174,7 @@ def _(s: Stored):
     return model.predict(fitted, s.features).agg(
         F.count("*").alias("rows"),
         F.every(_probable()).alias("probable"),
-        F.lit(fitted.stages[-1].getNumTrees).alias("trees"),
+        F.lit(fitted.pipeline.stages[-1].getNumTrees).alias("trees"),
     )
 
 
