@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from projectmart.llm.components import connected
+from projectmart.llm.rows import id_order, kept_rows, row_key
 from projectmart.llm.storage import stored, work_folder
 
 SHINGLE = 3
@@ -66,8 +67,10 @@ def _fingerprints(width: int):
             # One text at a time: a batch of long texts need not be in memory twice.
             values = [fingerprint(t.as_py(), width) for t in texts]
             out = np.array(values, np.uint64).view(np.int64)
+            more = batch.columns[2:]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(out)], names=["doc_id", "fingerprint"]
+                [batch.column(0).cast(pa.int64()), pa.array(out), *more],
+                names=["doc_id", "fingerprint", *batch.schema.names[2:]],
             )
 
     return run
@@ -227,6 +230,14 @@ def links(prints: DataFrame) -> DataFrame:
     return in_order.mapInArrow(_linked, "a bigint, b bigint").distinct()
 
 
+def with_roots(different: DataFrame, folder: str) -> DataFrame:
+    """``different`` (fingerprint, ...) with the root of each component."""
+    roots = connected(links(different), f"{folder}/components")
+    return different.join(
+        roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
+    ).withColumn("root", F.coalesce("root", "fingerprint"))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE, folder: str | None = None
 ) -> DataFrame:
@@ -234,11 +245,7 @@ def near_duplicates(
     folder = folder or work_folder(docs.sparkSession)
     rows = stored(fingerprints(docs, width), f"{folder}/fingerprints")
     different = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_doc"))
-    different = stored(different, f"{folder}/different")
-    roots = connected(links(different), f"{folder}/components")
-    of_root = different.join(
-        roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
-    ).withColumn("root", F.coalesce("root", "fingerprint"))
+    of_root = with_roots(stored(different, f"{folder}/different"), folder)
     # The smallest document of each component: only linked fingerprints need a second look.
     smallest = of_root.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     named = of_root.join(smallest, "root").select("fingerprint", "component_id")
@@ -246,15 +253,15 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """One document of each group, that of the smallest id, with the columns of ``docs``.
+    """The smallest row of each component, with the columns of ``docs``.
 
-    Rows that share an id are taken as one document.
+    A row without an id never is the smallest, unless a component has no other. Rows that share an
+    id but not the text are rows of their own.
     """
-    near = near_duplicates(docs, width)
-    keep = (
-        near.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_keep"))
-        .distinct()
+    folder = work_folder(docs.sparkSession)
+    rows = docs.select("doc_id", "text", row_key().alias("row")).mapInArrow(
+        _fingerprints(width), "doc_id bigint, fingerprint bigint, row string"
     )
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    first = rows.groupBy("fingerprint").agg(F.min(id_order()).alias("first"))
+    of_root = with_roots(stored(first, f"{folder}/different"), folder)
+    return kept_rows(docs, of_root.groupBy("root").agg(F.min("first").alias("first")))
