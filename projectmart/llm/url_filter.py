@@ -1,7 +1,7 @@
 """URL filter: a rule list first, then gradient-boosted trees on lexical features.
 
-The trees are fitted on labelled URLs, of which at most ``max_rows`` are taken, half of either
-label, by the hash of the URL. Suffix statistics (share of blocked URLs per last host label) come
+The trees are fitted on labelled URLs, of which at most ``max_rows`` different ones are taken, half
+of either label, by the hash of the URL; copies of a URL count once. Suffix statistics (share of blocked URLs per last host label) come
 from the same rows, so their table is bounded too and may be broadcast.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, fits no rule and is
@@ -100,15 +100,26 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
-def bounded_sample(labelled: DataFrame, max_rows: int) -> DataFrame | None:
-    """About ``max_rows`` rows at most, half of either label; None unless both labels occur."""
-    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not counts.get(0) or not counts.get(1):
-        return None
-    scale = 1 << 30
-    take = {k: min(scale, scale * (max_rows // 2) // counts[k]) for k in (0, 1)}
-    drawn = F.pmod(F.xxhash64("url"), F.lit(scale))
-    return labelled.filter(drawn < F.when(F.col("label") == 1, take[1]).otherwise(take[0]))
+def bounded_sample(labelled: DataFrame, max_rows: int) -> DataFrame:
+    """At most ``max_rows`` different URLs, half of either label: those of the lowest hashes.
+
+    URLs without a label are left out.
+    """
+    known = labelled.filter(F.col("label").isin(0, 1))
+    counts = {
+        r["label"]: r["n"]
+        for r in known.groupBy("label").agg(F.approx_count_distinct("url").alias("n")).collect()
+    }
+    half, scale = max_rows // 2, 1 << 30
+    hashed = known.withColumn("_hash", F.pmod(F.xxhash64("url"), F.lit(scale)))
+    halves = []
+    for label in (0, 1):
+        # More than are taken, so that an error of the estimate leaves enough to choose from; what
+        # is left is few different URLs, so that a top-k over them is small at any input size.
+        rate = min(scale, scale * (2 * half + 64) // max(1, counts.get(label, 0)))
+        drawn = hashed.filter((F.col("label") == label) & (F.col("_hash") < rate)).distinct()
+        halves.append(drawn.orderBy("_hash", "url").limit(half).drop("_hash"))
+    return halves[0].union(halves[1])
 
 
 def suffix_table(sample: DataFrame, smooth: float = 10.0) -> DataFrame:
@@ -131,9 +142,10 @@ def train(
 ) -> tuple[GBTClassificationModel, DataFrame] | None:
     """Model and suffix table from ``labelled`` (url, label 0/1), or None without both labels."""
     sample = bounded_sample(labelled.select("url", "label"), max_rows)
-    if sample is None:
-        return None
     sample = lexical(sample.coalesce(4).withColumns(url_parts(F.col("url")))).persist()
+    if sample.select("label").distinct().count() < 2:
+        sample.unpersist()
+        return None
     suffixes = suffix_table(sample).persist()
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
         with_suffixes(sample, suffixes)
