@@ -9,9 +9,9 @@ The search runs inside one map over the documents, without a shuffle. The items
 of a bounded number of bytes; each block is one pass, so that what is broadcast stays bounded
 however large the benchmark is.
 
-Defined results: null texts have no words, and items without words or without an id are never
-found. Repeated items count once, repeated documents are judged one by one, and empty tables give
-no rows or no hits.
+Defined results: null texts have no words, and items without words are never found. The words of
+items without an id are hits like any other, but add no id to the list. Repeated items count once,
+repeated documents are judged one by one, and empty tables give no rows or no hits.
 """
 
 from __future__ import annotations
@@ -45,6 +45,7 @@ FOUND = [
     T.StructField("n_words", T.LongType()),
     T.StructField("hit_words", T.ArrayType(T.LongType())),
     T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("no_id", T.BooleanType()),
 ]
 
 
@@ -57,11 +58,11 @@ def _words(data, offsets, hasher):
 class Patterns:
     """The tables of all test strings of one length, in words."""
 
-    def __init__(self, length: int, strings: dict[bytes, set[str]], hashes: np.ndarray):
+    def __init__(self, length: int, strings: dict[bytes, set[str | None]], hashes: np.ndarray):
         self.length, self.pair = length, min(2, length)
         order = np.argsort(windows_of(hashes))
         self.strings = [list(strings)[i] for i in order]
-        self.items = [sorted(strings[s]) for s in self.strings]
+        self.items = [list(strings[s]) for s in self.strings]
         self.keys = windows_of(hashes)[order]
         most = length - self.pair + 1
         self.mask = np.uint64((1 << max(12, (8 * hashes.size).bit_length())) - 1)
@@ -104,7 +105,7 @@ def windows_of(hashes: np.ndarray) -> np.ndarray:
     return windows(hashes.reshape(-1), hashes.shape[1])[:: hashes.shape[1]]
 
 
-def build_patterns(rows: list[tuple[str, bytes]]) -> list[Patterns]:
+def build_patterns(rows: list[tuple[str | None, bytes]]) -> list[Patterns]:
     """Tables from (item id, text), one for each length that occurs."""
     hasher, by_length = SpanHash(), defaultdict(lambda: defaultdict(set))
     hashed: dict[bytes, np.ndarray] = {}
@@ -159,17 +160,21 @@ def _searcher(broadcast, carry: list[str]):
             n_words, in_text, hit, found = _search(tables, data, offsets, hasher)
             n = rows.num_rows
             hits, items = [set() for _ in range(n)], [set() for _ in range(n)]
+            no_id = [False] * n
             for t, h in zip(in_text.tolist(), hit.tolist()):
                 hits[t].add(h)
             for t, item in found:
-                items[t].add(item)
+                if item is None:
+                    no_id[t] = True
+                else:
+                    items[t].add(item)
             names = rows.schema.names
             if "hit_words" in names:
-                for i, (h, x) in enumerate(
-                    zip(rows.column("hit_words").to_pylist(), rows.column("items").to_pylist())
-                ):
+                before = (rows.column(c).to_pylist() for c in ("hit_words", "items", "no_id"))
+                for i, (h, x, nameless) in enumerate(zip(*before)):
                     hits[i].update(h)
                     items[i].update(x)
+                    no_id[i] |= nameless
             columns = [rows.column(names.index(c)) for c in carry]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -177,8 +182,9 @@ def _searcher(broadcast, carry: list[str]):
                     pa.array(n_words, pa.int64()),
                     pa.array([sorted(h) for h in hits], pa.list_(pa.int64())),
                     pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                    pa.array(no_id, pa.bool_()),
                 ],
-                names=[*carry, "n_words", "hit_words", "items"],
+                names=[*carry, "n_words", "hit_words", "items", "no_id"],
             )
 
     return run
@@ -186,11 +192,12 @@ def _searcher(broadcast, carry: list[str]):
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str]) -> DataFrame:
     """The columns ``carry`` of ``docs`` with ``n_words``, ``hit_words`` (word numbers inside any
-    occurrence) and ``items`` (ids of items that occur, as strings, sorted)."""
+    occurrence), ``items`` (ids of items that occur, as strings, sorted) and ``no_id`` (whether
+    one without an id occurs)."""
     spark = docs.sparkSession
     tests = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")
-    ).filter("item_id IS NOT NULL AND text IS NOT NULL")
+    ).filter("text IS NOT NULL")
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = size // BLOCK_BYTES + 1
     fields = {f.name: f for f in docs.schema.fields}
@@ -200,8 +207,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str])
     )
     kept = [f"c_{c}" for c in carry]
     for block in range(n_blocks):
-        rows = tests.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).collect()
-        tables = build_patterns(sorted((r["item_id"], bytes(r["text"])) for r in rows))
+        rows = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()
+        tables = build_patterns([(r["item_id"], bytes(r["text"])) for r in rows])
         last = block == n_blocks - 1
         out = kept if last else ["text", *kept]
         schema = T.StructType(

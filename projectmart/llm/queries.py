@@ -278,7 +278,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_doc_id").alias("doc_id"),
         "n_words",
         n_hit.alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
+        # Items without an id count as one, as in SQL.
+        (F.size("items") + F.col("no_id").cast("int")).cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
