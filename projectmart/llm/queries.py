@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from projectmart.llm import (
+    best_fit,
     decontamination,
     line_dedup,
     packing,
     pii,
     quality,
+    ranked_search,
     recompression,
     simhash,
+    spelling,
     suffix_dedup,
     token_counts,
     url_filter,
@@ -283,3 +286,51 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query("op11_best_fit")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit.pack(table(spark, folder, "documents"), "byte_bpe_50k.json")
+
+
+SEARCH_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+  FROM benchmark
+), a AS (
+  SELECT count(*) AS n_docs, sum(len(t))::bigint AS n_terms FROM d WHERE len(t) > 0
+), m AS (
+  SELECT doc_id, 100 - 75 + 75 * len(t) * n_docs // n_terms AS m FROM d, a WHERE len(t) > 0
+), p AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d)
+  GROUP BY doc_id, term
+), q AS (
+  SELECT item_id, term, count(*) AS n FROM (SELECT item_id, unnest(t) AS term FROM b)
+  GROUP BY item_id, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint AS w
+  FROM p, a GROUP BY term, n_docs
+), s AS (
+  SELECT item_id, doc_id, sum(n * w * (1000000000 * tf // (1000 * tf + 8 * m)))::bigint AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id)
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, doc_id, score,
+  row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::int AS rank
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query("op12_ranked_search", SEARCH_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_spelling")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -212,3 +213,96 @@ def pieces_are_whole(rows, docs, tokenizer, capacity=1024):
         assert at <= capacity
         padding += 0 if at & (at - 1) == 0 else capacity - at
     return padding
+
+
+def best_fit_is_whole(rows, docs, tokenizer, capacity):
+    """Raises unless documents are cut as they may be, and sequences are filled without gaps."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(by_doc) == {d for d, _ in docs}
+    for doc, text in docs:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        at, parts = 0, sorted(by_doc[doc], key=lambda r: r["piece"])
+        assert len(parts) == -(-len(ids) // capacity)
+        for nth, r in enumerate(parts):
+            assert (r["piece"], r["start"]) == (nth, at)
+            assert r["length"] == capacity or nth == 0
+            data = b"".join(i.to_bytes(4, "little") for i in ids[at : at + r["length"]])
+            assert r["ids_crc32"] == zlib.crc32(data)
+            at += r["length"]
+        assert at == len(ids)
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by_sequence)
+
+
+SEARCH_TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked_search(docs, items, k=10):
+    """For each item the list of (doc, score), best first, all documents scored."""
+    terms = [(d, Counter(SEARCH_TERM.findall(lower(t or "")))) for d, t in docs]
+    terms = [(d, c) for d, c in terms if c]
+    n_docs, n_terms = len(terms), sum(c.total() for _, c in terms)
+    df = Counter(t for _, c in terms for t in c)
+    out = []
+    for item, text in items:
+        asked, found = SEARCH_TERM.findall(lower(text or "")), []
+        for doc, c in terms:
+            m = 100 - 75 + 75 * c.total() * n_docs // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+                for t in asked
+                if c[t]
+            )
+            if score > 0:
+                found.append((doc, score))
+        found.sort(key=lambda x: (-x[1], x[0] is None, x[0]))
+        out += [(item, rank, *x) for rank, x in enumerate(found[:k], 1)]
+    return out
+
+
+def spelling_words(docs):
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 97 == 0:
+                i = h % len(run)
+                run = run[:i] + run[i + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if a == b or len(b) - len(a) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(words):
+    """word -> (form, root, n, n_near, form_n), every pair compared."""
+    near = {w: [x for x in words if one_edit(w, x)] for w in words}
+    forms = {}
+    for w, found in near.items():
+        best = min(found, key=lambda x: (-words[x], x), default=None)
+        forms[w] = best if best is not None and words[best] >= 2 * words[w] else None
+    out = {}
+    for w in words:
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        out[w] = (forms[w], root, words[w], len(near[w]), words.get(forms[w]))
+    return out
