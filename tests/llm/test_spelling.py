@@ -59,8 +59,8 @@ def test_near_words(spark, tmp_path, monkeypatch, most, block):
 
 def test_a_crowd_that_agrees_outside_one_zone(spark, tmp_path):
     """All words share all but two letters; groups stay bounded and no pair is lost."""
-    words = [f"prefix{a}{b}suffix" for a in string.ascii_lowercase for b in string.ascii_lowercase]
-    words += [f"prefix{a}suffix" for a in string.ascii_lowercase]
+    words = [f"a{a}{b}longsuffix" for a in string.ascii_lowercase for b in string.ascii_lowercase]
+    words += [f"a{a}longsuffix" for a in string.ascii_lowercase]
     df = spark.createDataFrame([(w, 3) for w in words], "word string, n bigint")
     tables = spelling.groups(df, str(tmp_path / "g"))
     assert len(tables) > 1
