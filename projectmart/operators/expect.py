@@ -32,15 +32,20 @@ def violations(
     return counts.select("rows", F.explode(pairs).alias("r")).select("r.rule", "rows", "r.violations")
 
 
+def counted(rules: Mapping[str, Column], null_passes: bool = False) -> list[Column]:
+    """The number of rows, and for each rule of those that break it."""
+    metrics = [
+        F.count_if(~_holds(predicate, null_passes)).alias(name) for name, predicate in rules.items()
+    ]
+    return [F.count(F.lit(1)).alias("rows"), *metrics]
+
+
 def _observed(
     df: DataFrame, rules: Mapping[str, Column], null_passes: bool, observation: Observation | None
 ) -> DataFrame:
     if observation is None:
         return df
-    metrics = [
-        F.count_if(~_holds(predicate, null_passes)).alias(name) for name, predicate in rules.items()
-    ]
-    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
+    return df.observe(observation, *counted(rules, null_passes))
 
 
 def expect(

@@ -26,6 +26,7 @@ TABLE_COMMENTS = {
         "gold_vendor_scorecard": "Scores, invoices and orders per vendor.",
         "gold_invoice_aging": "Invoices by vendor, payment status and days overdue.",
         "gold_project_summary": "Cost, schedule, purchasing and risk level per project.",
+        "gold_employee_purchase_summary": "Orders of the projects that an employee manages.",
     },
 }
 COLUMN_COMMENTS = {

@@ -24,6 +24,7 @@ CATEGORIES = ("project_type", "municipality", "status")
 NOT_FEATURES = (ID, "ingestion_timestamp", LABEL)
 CLASSES = (0, 1)
 ROWS_PER_BUCKET = 1000
+FEW_CODES = 10_000
 
 
 def known_categories(features: DataFrame) -> DataFrame:
@@ -70,10 +71,17 @@ def category_codes(features: DataFrame) -> DataFrame:
 
 
 def with_codes(features: DataFrame, codes: DataFrame, suffix: str = "code") -> DataFrame:
-    """Codes of the categories as numbers; a category without code gets the number of codes."""
+    """Codes of the categories as numbers; a category without code gets the number of codes.
+
+    The values of a category may be few and each in a large share of the rows, so the codes are
+    broadcast, unless they are counted and found to be more than ``FEW_CODES``.
+    """
     coded = known_categories(features)
+    few = codes.limit(FEW_CODES + 1).count() <= FEW_CODES
     for c in CATEGORIES:
         of_column = codes.filter(F.col("column") == c)
+        if few:
+            of_column = F.broadcast(of_column)
         number = of_column.agg(F.count("*").alias("n")).scalar()
         coded = coded.join(
             of_column.select(F.col("value").alias(c), F.col("code").alias("_code")), c, "left"

@@ -6,11 +6,14 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from projectmart.functions import fixed_values as V
 from projectmart.plans import declarative, features, gold, model, silver, validate
 from projectmart.plans.audit import audit_enums, audit_keys, audit_nulls, dq_scorecard
-from projectmart.plans.govern import apply_governance
+from projectmart.plans.explain import shapley_ranking
+from projectmart.plans.govern import TABLE_COMMENTS, apply_governance
+from projectmart.sources.arrival import ARRIVAL, with_arrival
 from projectmart.sources.schemas import CORE_TABLES, RAW_SCHEMAS
 from projectmart.sources.tables import (
     Layers,
@@ -24,12 +27,27 @@ from projectmart.sources.tables import (
 from projectmart.streaming.ingest import ingest_tables
 
 Tables = Mapping[str, DataFrame]
+# Silver tables that are grouped and joined by project.
+BY_PROJECT = (
+    "dim_projects", "fact_project_costs", "fact_schedule_milestones", "fact_purchase_orders",
+    "fact_subcontractor_performance",
+)
 
 
-def save_all(frames: Tables, layers: Layers, layer: str, at_once: int = 4) -> None:
+def save_all(
+    frames: Tables,
+    layers: Layers,
+    layer: str,
+    at_once: int = 4,
+    *,
+    comments: Mapping[str, str] | None = None,
+    buckets: Mapping[str, tuple[int, str]] | None = None,
+) -> None:
     """Write independent tables; a few at once keep the executors busy between stages."""
     def one(item: tuple[str, DataFrame]) -> None:
-        save(item[1], layers, layer, item[0])
+        table, df = item
+        comment, bucket = (comments or {}).get(table), (buckets or {}).get(table)
+        save(df, layers, layer, table, bucket_by=bucket, comment=comment)
 
     with ThreadPoolExecutor(at_once) as pool:
         list(pool.map(one, frames.items()))
@@ -50,9 +68,22 @@ def build_silver(
     *,
     as_of: str | None = None,
     keys: Mapping[str, str] = V.WIDE_KEYS,
+    by_arrival: bool = False,
+    n_buckets: int | None = None,
 ) -> None:
+    """Of rows of one key the first in the order of all columns stays, or the first that arrived.
+
+    With ``n_buckets``, projects and the facts about them are bucketed by project, so that what
+    groups and joins them by project reads them in place. A project with a large share of a fact then
+    makes a large bucket; where that matters, leave it out.
+    """
     bronze = core(spark, layers, "bronze")
-    save_all(silver.silver_tables(bronze, as_of=as_of, keys=keys), layers, "silver")
+    if by_arrival:
+        bronze = {table: with_arrival(df) for table, df in bronze.items()}
+    order = [ARRIVAL] if by_arrival else None
+    clean = silver.silver_tables(bronze, as_of=as_of, order_by=order, keys=keys)
+    buckets = {table: (n_buckets, "project_id") for table in BY_PROJECT} if n_buckets else None
+    save_all(clean, layers, "silver", buckets=buckets)
 
 
 def build_gold(spark: SparkSession, layers: Layers) -> None:
@@ -81,7 +112,9 @@ def build_scores(
     metrics = model.evaluate(predictions)
     report = model.classification_report(predictions)
     save(report, layers, "gold", "ml_classification_report")
-    save(model.feature_importance(fitted, test), layers, "gold", "ml_feature_importance")
+    measured = model.feature_importance(fitted, test).join(shapley_ranking(fitted, test), "feature")
+    ranked = measured.orderBy(F.desc("mean_abs_shapley"), "feature")
+    save(ranked, layers, "gold", "ml_feature_importance")
     model.save_model(fitted, model_path)
     model.log_run(spark, layers, params, metrics, run_id)
     scores = model.score_projects(model.load_model(model_path), table)
@@ -111,15 +144,16 @@ def run_batch(
     as_of: str | None = None,
     keys: Mapping[str, str] = V.WIDE_KEYS,
     params: Mapping[str, float] = V.BOOSTING,
+    by_arrival: bool = True,
 ) -> DataFrame:
     """The daily workflow; returns the validation results.
 
-    After the marts, three branches run at once: features and model, audit, and governance. The
+    Of duplicates the row that arrived first stays, by the files of the bronze tables. After the marts, three branches run at once: features and model, audit, and governance. The
     table comments come first within theirs, the model's tables have none.
     """
     run_id = new_run()
     build_bronze(spark, layers, raw)
-    build_silver(spark, layers, as_of=as_of, keys=keys)
+    build_silver(spark, layers, as_of=as_of, keys=keys, by_arrival=by_arrival)
     build_gold(spark, layers)
 
     def learn() -> None:
@@ -147,7 +181,7 @@ def refresh(
         sources, build = declarative.GOLD[table]
         silver_tables = {source: scan(spark, layers, "silver", source) for source in sources}
         df = build(silver_tables, as_of=as_of)
-    save(df, layers, layer, table)
+    save(df, layers, layer, table, comment=TABLE_COMMENTS[layer].get(table))
 
 
 def run_declarative(
@@ -167,7 +201,8 @@ def run_declarative(
     ingest_tables(spark, dict(sources), stream_root)
     for table in CORE_TABLES:
         path = f"{stream_root}/tables/{table}"
-        register(spark, layers, "bronze", table, RAW_SCHEMAS[table], path)
+        comment = f"Raw rows of {table} as the stream appended them."
+        register(spark, layers, "bronze", table, RAW_SCHEMAS[table], path, comment=comment)
     bronze = core(spark, layers, "bronze")
     observed = {table: declarative.observations(table) for table in CORE_TABLES}
     save_all(
@@ -177,6 +212,7 @@ def run_declarative(
         },
         layers,
         "silver",
+        comments=TABLE_COMMENTS["silver"],
     )
     counted = [
         (f"expectation.{table}.{rule}", str(count))
@@ -186,5 +222,5 @@ def run_declarative(
     put_metadata(spark, layers, spark.createDataFrame(counted, "key string, value string"))
     clean = core(spark, layers, "silver")
     marts = declarative.gold_marts(clean, as_of=as_of)
-    save_all(marts, layers, "gold")
+    save_all(marts, layers, "gold", comments=TABLE_COMMENTS["gold"])
     return {mart: scan(spark, layers, "gold", mart) for mart in marts}

@@ -230,17 +230,27 @@ BUILDERS: dict[str, Callable[..., DataFrame]] = {
 
 
 def silver_table(
-    table: str, raw: DataFrame, *, as_of: str | None = None, keys: Keys = V.WIDE_KEYS
+    table: str,
+    raw: DataFrame,
+    *,
+    as_of: str | None = None,
+    order_by: Order = None,
+    keys: Keys = V.WIDE_KEYS,
 ) -> DataFrame:
     dated = {"as_of": as_of} if table == "fact_invoices" else {}
-    return BUILDERS[table](raw, keys=keys, **dated)
+    return BUILDERS[table](raw, order_by=order_by, keys=keys, **dated)
 
 
 def silver_tables(
-    raw: Mapping[str, DataFrame], *, as_of: str | None = None, keys: Keys = V.WIDE_KEYS
+    raw: Mapping[str, DataFrame],
+    *,
+    as_of: str | None = None,
+    order_by: Order = None,
+    keys: Keys = V.WIDE_KEYS,
 ) -> dict[str, DataFrame]:
     return {
-        table: silver_table(table, raw[table], as_of=as_of, keys=keys) for table in BUILDERS
+        table: silver_table(table, raw[table], as_of=as_of, order_by=order_by, keys=keys)
+        for table in BUILDERS
     }
 
 

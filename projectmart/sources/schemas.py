@@ -58,6 +58,11 @@ MARTS = (
 )
 ML_TABLES = ("ml_feature_table", "ml_project_risk_scores")
 RUN_METADATA = "run_metadata"
+# Tables that a run writes beside those of the registry.
+REPORTS = (
+    "audit_keys", "audit_nulls", "audit_enums", "audit_scorecard", "ml_test_predictions",
+    "ml_classification_report", "ml_feature_importance", RUN_METADATA,
+)
 
 REGISTRY = {
     "bronze": CORE_TABLES,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from projectmart.sources.schemas import REGISTRY, RUN_METADATA
+from projectmart.sources.schemas import REGISTRY, REPORTS, RUN_METADATA
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -75,13 +75,20 @@ def save(
     mode: str = "overwrite",
     *,
     partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, str] | None = None,
     comment: str | None = None,
 ) -> None:
     """Write a table, if asked in partitions by some columns, so that dated scans read theirs only.
 
-    A comment is declared with the table.
+    ``bucket_by`` (number, column) puts equal values of the column into the same files: grouping and
+    joining such tables by that column needs no shuffle. A comment is declared with the table.
     """
+    if bucket_by:
+        # One task per bucket, so that a bucket is one file and not one per task.
+        df = df.repartition(*bucket_by)
     writer = df.write.format(layers.format).mode(mode)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     name = layers.name(layer, table)
@@ -92,12 +99,21 @@ def save(
 
 
 def register(
-    spark: SparkSession, layers: Layers, layer: str, table: str, schema: T.StructType, path: str
+    spark: SparkSession,
+    layers: Layers,
+    layer: str,
+    table: str,
+    schema: T.StructType,
+    path: str,
+    *,
+    comment: str | None = None,
 ) -> None:
     """Name the files of a folder, such as the sink of a stream, as a table."""
     name = layers.name(layer, table)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source=layers.format, schema=schema)
+    spark.catalog.createTable(
+        name, path=path, source=layers.format, schema=schema, description=comment
+    )
 
 
 def exists(spark: SparkSession, layers: Layers, layer: str, table: str) -> bool:
@@ -130,13 +146,16 @@ def put_metadata(
 
 
 def drop_layers(spark: SparkSession, layers: Layers, drop_bronze: bool = False) -> DataFrame:
-    """Drop gold, silver and, if asked, bronze with their schemas; report what remains."""
+    """Drop gold, silver and, if asked, bronze with their schemas; report what remains.
+
+    Only tables of this library are dropped. A schema that holds others is refused with an error,
+    after its own tables are gone.
+    """
     targets = [layer for layer in ("gold", "silver", "bronze") if layer != "bronze" or drop_bronze]
     for layer in targets:
-        for table in reversed(REGISTRY[layer]):
+        for table in (*reversed(REGISTRY[layer]), *(REPORTS if layer == "gold" else ())):
             spark.sql(f"DROP TABLE IF EXISTS {layers.name(layer, table)}")
-        # What else is in the schema, such as reports and metadata, goes with it.
-        spark.sql(f"DROP SCHEMA IF EXISTS {layers.schema(layer)} CASCADE")
+        spark.sql(f"DROP SCHEMA IF EXISTS {layers.schema(layer)} RESTRICT")
     remaining = [
         (layer, table, exists(spark, layers, layer, table))
         for layer, tables in REGISTRY.items()

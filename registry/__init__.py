@@ -5,6 +5,7 @@ from __future__ import annotations
 from registry.base import QUERIES, SQL
 
 from registry import (  # noqa: F401  (each module registers its queries)
+    arriving,
     cleansing,
     defects,
     governance,

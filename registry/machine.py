@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from oracle import core as O
 from projectmart.functions import fixed_values as V
-from projectmart.plans import features, model, serve
+from projectmart.functions.values import round_half_up
+from projectmart.plans import explain, features, model, serve
 from projectmart.sources.tables import Layers, ensure_namespaces, put_metadata, shared_folder
 from registry import scalar  # noqa: F401  (the fixed predictions in SQL)
 from registry.base import Stored, Tables, query, stored_query
@@ -164,17 +164,14 @@ def _(t: Tables):
     )
 
 
-def _probable() -> Column:
-    return F.col("overrun_probability").between(0, 1)
-
-
-@stored_query("ml_3_train", "SELECT count(*) AS \"rows\", TRUE AS probable, 300 AS trees FROM f_table")
+@stored_query("ml_3_train")
 def _(s: Stored):
-    fitted = model.train(s.training, exclude=("total_actual",))
-    return model.predict(fitted, s.features).agg(
-        F.count("*").alias("rows"),
-        F.every(_probable()).alias("probable"),
-        F.lit(fitted.pipeline.stages[-1].getNumTrees).alias("trees"),
+    """Every fitted tree with its weight, size and the training rows that went through it."""
+    leaf = F.col("left") < 0
+    return explain.tree_nodes(s.model).groupBy("tree", "weight").agg(
+        F.count("*").alias("nodes"),
+        F.count_if(leaf).alias("leaves"),
+        F.sum(F.when(leaf, F.col("cover"))).cast("bigint").alias("rows"),
     )
 
 
@@ -187,17 +184,9 @@ def _(t: Tables):
     return model.class_weights(t.features.select("is_over_budget"))
 
 
-@stored_query(
-    "ml_5_predict", "SELECT project_id, is_over_budget, TRUE AS probable, TRUE AS agrees FROM f_table"
-)
+@stored_query("ml_5_predict")
 def _(s: Stored):
-    hard = (F.col("overrun_probability") > 0.5).cast("int")
-    return model.predict(s.model, s.features).select(
-        "project_id",
-        "is_over_budget",
-        _probable().alias("probable"),
-        (F.col("predicted") == hard).alias("agrees"),
-    )
+    return model.predict(s.model, s.features)
 
 
 O.CTES["p_labelled"] = """
@@ -256,37 +245,82 @@ def _(t: Tables):
     return put_metadata(t.spark, layers, entries).select("key", "value")
 
 
-@stored_query("ml_9_saved_model", "SELECT count(*) AS \"rows\", 0 AS different FROM f_table")
+@stored_query("ml_9_saved_model")
 def _(s: Stored):
-    loaded = model.load_model(s.model_path)
-    again = model.predict(loaded, s.features).withColumnRenamed("overrun_probability", "reloaded")
-    return again.join(model.predict(s.model, s.features), "project_id").agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col("reloaded") != F.col("overrun_probability")).alias("different"),
+    return model.predict(model.load_model(s.model_path), s.features).select(
+        "project_id", "overrun_probability"
     )
 
 
-_names = [f"{c}_number" for c in model.CATEGORIES] + [c for columns in NUMBERS.values() for c in columns]
+@stored_query("ml_10_feature_importance")
+def _(s: Stored):
+    measured = model.feature_importance(s.model, s.test)
+    return measured.join(explain.shapley_ranking(s.model, s.test), "feature")
 
 
-@stored_query(
-    "ml_10_feature_importance",
-    " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS measured" for c in _names),
-)
-def _(s: Stored):
-    measured = F.col("gain").between(0, 1) & F.col("loss_increase").isNotNull()
-    return model.feature_importance(s.model, s.test).select("feature", measured.alias("measured"))
+# A tree of two splits and three leaves: what a fixed rule gives away, and to which feature.
+_SPLITS = (("budget_utilization_pct", 100.0), ("total_milestones", 20.0))
+_LEAVES = {"high": 4.0, "low_few": -1.0, "low_many": 2.0}
+_TWO_SPLITS = f"""
+SELECT project_id, {_SPLITS[0][0]} <= {_SPLITS[0][1]} AS low, {_SPLITS[1][0]} <= {_SPLITS[1][1]} AS few
+FROM f_table
+"""
+O.CTES["x_two_splits"] = f"""
+SELECT t.*, a, f, CAST(CASE WHEN low THEN f * {_LEAVES['low_few']} + (1 - f) * {_LEAVES['low_many']}
+    ELSE {_LEAVES['high']} END AS DOUBLE) AS knows_first,
+  CAST(a * CASE WHEN few THEN {_LEAVES['low_few']} ELSE {_LEAVES['low_many']} END
+    + (1 - a) * {_LEAVES['high']} AS DOUBLE) AS knows_second,
+  CAST(CASE WHEN NOT low THEN {_LEAVES['high']} WHEN few THEN {_LEAVES['low_few']}
+    ELSE {_LEAVES['low_many']} END AS DOUBLE) AS knows_both,
+  CAST(a * (f * {_LEAVES['low_few']} + (1 - f) * {_LEAVES['low_many']}) + (1 - a) * {_LEAVES['high']}
+    AS DOUBLE) AS knows_nothing
+FROM ({_TWO_SPLITS}) t, (SELECT CAST(count(*) FILTER (WHERE low) AS DOUBLE) / count(*) AS a,
+  CAST(count(*) FILTER (WHERE low AND few) AS DOUBLE) / count(*) FILTER (WHERE low) AS f
+  FROM ({_TWO_SPLITS}))
+"""
 
 
-@stored_query(
-    "ml_11_score_projects", "SELECT project_id, TRUE AS probable, TRUE AS in_bucket FROM f_table"
+@query(
+    "ml_10_shapley_of_two_splits",
+    f"""SELECT project_id, {O.half_up('knows_nothing', 4)} AS base,
+    {O.half_up('(knows_first - knows_nothing + knows_both - knows_second) / 2', 4)} AS first_share,
+    {O.half_up('(knows_second - knows_nothing + knows_both - knows_first) / 2', 4)} AS second_share
+    FROM x_two_splits""",
 )
-def _(s: Stored):
-    p = F.col("overrun_probability")
-    level = F.when(p <= 0.3, "low").when(p <= 0.7, "medium").otherwise("high")
-    return model.score_projects(s.model, s.features).select(
-        "project_id", _probable().alias("probable"), (F.col("risk_level") == level).alias("in_bucket")
+def _(t: Tables):
+    table = t.features.select("project_id", *[c for c, _ in _SPLITS])
+    low, few = (F.col(c) <= bound for c, bound in _SPLITS)
+    n, n_low, n_few = (
+        table.agg(F.count("*"), F.count_if(low), F.count_if(low & few)).first()
+    )
+    rows = [
+        (0, 0, 1, 4, 0, _SPLITS[0][1], 0.0, n),
+        (0, 1, 2, 3, 1, _SPLITS[1][1], 0.0, n_low),
+        (0, 2, -1, -1, -1, None, _LEAVES["low_few"], n_few),
+        (0, 3, -1, -1, -1, None, _LEAVES["low_many"], n_low - n_few),
+        (0, 4, -1, -1, -1, None, _LEAVES["high"], n - n_low),
+    ]
+    nodes = t.spark.createDataFrame(
+        [(*r[:7], float(r[7]), 1.0) for r in rows],
+        "tree int, id int, left int, right int, feature int, threshold double, value double,"
+        " cover double, weight double",
     )
+    leaves = explain.tree_leaves(nodes)
+    x = F.array(*[F.col(c).cast("double") for c, _ in _SPLITS]).alias("x")
+    found = explain.explain(table.select(F.col("project_id").alias("id"), x), leaves, len(_SPLITS))
+    return found.select(
+        F.col("id").alias("project_id"),
+        round_half_up(F.lit(explain.base_value(leaves)), 4).alias("base"),
+        *[
+            round_half_up(F.get("shapley", F.lit(j)), 4).alias(name)
+            for j, name in enumerate(("first_share", "second_share"))
+        ],
+    )
+
+
+@stored_query("ml_11_score_projects")
+def _(s: Stored):
+    return model.score_projects(s.model, s.features).drop("scored_at")
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from oracle import core as O
 from projectmart.functions.values import aging_bucket
 from projectmart.operators import aggregates as A
-from projectmart.operators.joins import enrich, join_on, orphan_rate, orphans, star
+from projectmart.operators.joins import enrich, enrich_hot, join_on, orphan_rate, orphans, star
 from projectmart.operators.topk import top_k
 from projectmart.plans.silver import key_report
 from registry.base import Tables, query
@@ -33,7 +33,7 @@ def _(t: Tables):
     " LEFT JOIN s_dim_projects p ON m.project_id = p.project_id GROUP BY 1, 2",
 )
 def _(t: Tables):
-    joined = enrich(
+    joined = enrich_hot(
         t.silver["fact_schedule_milestones"], t.silver["dim_projects"], "project_id",
         ("municipality",),
     )

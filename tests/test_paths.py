@@ -143,9 +143,9 @@ def test_label_is_strict_at_the_threshold(spark):
     assert found == {"p": 0, "q": 1, "r": 0}
 
 
-def test_narrow_keys_are_the_default(spark):
+def test_wide_keys_are_the_default(spark):
     df = raw(spark, "fact_project_costs",
              {"cost_id": "CST-1", "project_id": "FRA-20250-0001", "budget_eur": 1.0})
-    assert silver.fact_project_costs(df).collect()[0]["project_id"] is None
-    wide = silver.fact_project_costs(df, keys=V.WIDE_KEYS).collect()[0]
-    assert wide["project_id"] == "FRA-20250-0001"
+    assert silver.fact_project_costs(df).collect()[0]["project_id"] == "FRA-20250-0001"
+    narrow = silver.fact_project_costs(df, keys=V.NARROW_KEYS).collect()[0]
+    assert narrow["project_id"] is None

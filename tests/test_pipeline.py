@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+import registry
+
 from projectmart.functions import fixed_values as V
-from projectmart.plans import declarative, govern, model, pipeline, validate
+from projectmart.plans import declarative, features, gold, govern, model, pipeline, validate
 from projectmart.sources import fixtures
 from projectmart.sources.schemas import CORE_TABLES, RAW_SCHEMAS
 from projectmart.sources.tables import (
@@ -184,6 +187,9 @@ def test_stream_then_recompute_equals_batch_read(spark, stored, small):
     kept = spark.table(declared.name("gold", "run_metadata")).collect()
     assert len(kept) == 25 and len({r["run_id"] for r in kept}) == 1
     assert expected.items() <= {r["key"]: r["value"] for r in kept}.items()
+    for layer in ("bronze", "silver", "gold"):
+        comments = govern.comment_report(spark, declared, layer).filter("comment = '(no comment)'")
+        assert {r["table"] for r in comments.collect()} <= {"run_metadata"}
     # The sinks are tables, so that single tables can be refreshed afterwards.
     for table in CORE_TABLES:
         assert scan(spark, declared, "bronze", table).count() == raw[table].count()
@@ -247,3 +253,56 @@ def test_drop_keeps_bronze_unless_asked(spark, small):
     assert exists(spark, layers, "bronze", "dim_employee")
     report = drop_layers(spark, layers, drop_bronze=True)
     assert report.filter("present").count() == 0
+
+
+def test_drop_refuses_a_schema_with_tables_of_others(spark):
+    layers = Layers("shared_", shared_folder(spark))
+    ensure_namespaces(spark, layers)
+    entries = spark.createDataFrame([("k", "v")], "key string, value string")
+    put_metadata(spark, layers, entries)
+    save(entries, layers, "gold", "somebody_elses")
+    with pytest.raises(AnalysisException):
+        drop_layers(spark, layers)
+    assert exists(spark, layers, "gold", "somebody_elses")
+    assert not exists(spark, layers, "gold", "run_metadata")
+    spark.sql(f"DROP TABLE {layers.name('gold', 'somebody_elses')}")
+    drop_layers(spark, layers)
+    assert not spark.catalog.databaseExists(layers.schema("gold"))
+
+
+def test_tables_bucketed_by_project_are_joined_in_place(spark, stored, small):
+    layers, _ = stored
+    root = shared_folder(spark)
+    placed = Layers("placed_", root)
+    pipeline.build_bronze(spark, placed, fixtures.raw_tables(spark, small))
+    pipeline.build_silver(spark, placed, as_of=fixtures.AS_OF, n_buckets=4)
+    tables = pipeline.core(spark, placed, "silver")
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        for build in (gold.project_summary, features.feature_table):
+            df = build(tables)
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+            assert df.count() > 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # The same marts as from tables that are not bucketed.
+    plain = Layers("unplaced_", root)
+    pipeline.build_bronze(spark, plain, fixtures.raw_tables(spark, small))
+    pipeline.build_silver(spark, plain, as_of=fixtures.AS_OF)
+    want = gold.project_summary(pipeline.core(spark, plain, "silver")).drop("ingestion_timestamp")
+    got = gold.project_summary(tables).drop("ingestion_timestamp")
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_declared_tables_carry_their_comments(spark, small):
+    rows = {r["table"]: r["comment"] for r in registry.QUERIES["gv_5_declared_comment"](spark, small).collect()}
+    assert rows == {
+        "dim_vendors": govern.TABLE_COMMENTS["silver"]["dim_vendors"],
+        "fact_subcontractor_performance": govern.TABLE_COMMENTS["silver"]["fact_subcontractor_performance"],
+        "gold_vendor_scorecard": govern.TABLE_COMMENTS["gold"]["gold_vendor_scorecard"],
+    }
