@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from oracle import core as O
 from projectmart.functions import fixed_values as V
 from projectmart.functions.values import round_half_up
-from projectmart.plans import explain, features, model, serve
+from projectmart.plans import explain, features, leafwise, model, serve
+from projectmart.plans.features import LABEL
 from projectmart.sources.tables import Layers, ensure_namespaces, put_metadata, shared_folder
 from registry import scalar  # noqa: F401  (the fixed predictions in SQL)
 from registry.base import Stored, Tables, query, stored_query
@@ -175,6 +176,42 @@ def _(s: Stored):
     )
 
 
+_EDGES = {"budget_utilization_pct": (80.0, 100.0, 120.0), "total_milestones": (5.0, 20.0)}
+_binned = " UNION ALL ".join(
+    f"SELECT {f} AS feature, {' + '.join(f'CAST({c} > {e} AS INTEGER)' for e in edges)} AS bin,"
+    " is_over_budget FROM f_table"
+    for f, (c, edges) in enumerate(_EDGES.items())
+)
+
+
+@query(
+    "ml_3_histogram",
+    "SELECT feature, bin, count(*) AS n, CAST(sum(is_over_budget) AS BIGINT) AS overruns"
+    f" FROM ({_binned}) GROUP BY 1, 2",
+)
+def _(t: Tables):
+    """What a level of best-first growth adds up, for one node and fixed bins."""
+    inputs = list(_EDGES)
+    rows = t.features.select("is_over_budget", *inputs)
+    state = rows.select("is_over_budget", leafwise.binned(rows, inputs, list(_EDGES.values())).alias("bins"))
+    sums = leafwise.histogram(state, F.lit(0), F.col("is_over_budget").cast("bigint"), F.lit(1))
+    return sums.select("feature", "bin", "n", F.col("g").alias("overruns"))
+
+
+@stored_query("ml_3_best_first")
+def _(s: Stored):
+    """Five trees of at most 31 leaves: rows, splits and leaves of each."""
+    inputs = model.model_features(s.training)
+    rows = model.with_weights(model.with_codes(s.training, s.model.codes, "number"))
+    fitted = leafwise.fit(rows, inputs, LABEL, "weight", rounds=5)
+    leaf = F.col("left") < 0
+    return fitted.nodes(s.spark).groupBy("tree").agg(
+        F.count("*").alias("nodes"),
+        F.count_if(leaf).alias("leaves"),
+        F.sum(F.when(leaf, F.col("cover"))).cast("bigint").alias("rows"),
+    )
+
+
 @query(
     "ml_4_class_weights",
     "SELECT is_over_budget, CAST(sum(n) OVER () AS DOUBLE) / CAST(count(*) OVER () * n AS DOUBLE)"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -136,3 +138,24 @@ def test_top_k(spark):
         "c", "a",
     ]
     assert "TakeOrderedAndProject" in plan(top_k(df, "v", 2))
+
+
+def test_money_total_equals_a_sum_of_casts(spark):
+    draw, values = random.Random(1), []
+    for _ in range(6000):
+        v = draw.choice(
+            [
+                draw.random() * 10 ** draw.randint(-8, 18), round(draw.random() * 1e5, draw.randint(0, 6)),
+                1.00005, 0.00005, 2.5e-5, 123456.78905, 1e13 + 0.5, 0.0, round(draw.random() * 100, 4) + 0.00005,
+            ]
+        )
+        values.append((draw.choice([1, -1]) * v if draw.random() > 0.1 else None, draw.randrange(2000)))
+    df = spark.createDataFrame([*values, (None, 5000)], "v double, k int").repartition(3)
+    fast = df.groupBy("k").agg(A.money_total(F.col("v")).alias("s"))
+    cast = df.groupBy("k").agg(F.sum(F.col("v").cast("decimal(28,4)")).cast("decimal(38,4)").alias("s"))
+    assert fast.exceptAll(cast).count() == 0 and fast.count() == cast.count()
+    assert fast.filter("s IS NULL").count() >= 1
+    # Far beyond what one whole number holds.
+    large = spark.range(200_000).select(F.lit(9.9e10).alias("v"), F.lit(1).alias("k"))
+    total = large.groupBy("k").agg(A.money_total(F.col("v")).cast("string").alias("s")).first()["s"]
+    assert total == "19800000000000000.0000"
