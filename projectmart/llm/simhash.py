@@ -39,6 +39,8 @@ SEED = 42
 GENERATOR = 0b101011100011
 # Up to this many fingerprints of a key are compared with their neighbours; more grow groups.
 SMALL_RUN = 12
+# Longer runs are split before groups grow.
+LONG_RUN = 1024
 CHUNK = 1 << 15
 
 
@@ -149,6 +151,30 @@ def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def grown_links(prints: np.ndarray) -> list[tuple[int, int]]:
     """Links that join all fingerprints within three bits, straight or over others of the run.
 
+    In long runs the bits that vary are dealt into one part more than the bits that may differ: two
+    near fingerprints agree in some part, so those that agree in a part are looked at by themselves.
+    """
+    links: list[tuple[int, int]] = []
+    todo = [np.unique(prints)]
+    while todo:
+        run = todo.pop()
+        if len(run) <= LONG_RUN:
+            links.extend(_grown(run))
+            continue
+        values = run.view(np.uint64)
+        varying = int(np.bitwise_or.reduce(values ^ values[0]))
+        places = [b for b in range(64) if varying >> b & 1]
+        for part in range(MAX_BITS + 1):
+            same = values & np.uint64(sum(1 << b for b in places[part :: MAX_BITS + 1]))
+            order = np.argsort(same, kind="stable")
+            cuts = np.flatnonzero(np.diff(same[order])) + 1
+            todo.extend(x for x in np.split(run[order], cuts) if len(x) > 1)
+    return links
+
+
+def _grown(prints: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a run that is not split.
+
     A group grows from its first fingerprint over those not reached yet; in a dense run few are
     left after the first step, so that the work is far from that of all pairs.
     """

@@ -306,3 +306,24 @@ def spelling(words):
             root = forms[root]
         out[w] = (forms[w], root, words[w], len(near[w]), words.get(forms[w]))
     return out
+
+
+def near_groups(docs):
+    """The smallest id of each group linked by a similarity of 0.8 of five-word shingles."""
+    sets = []
+    for doc, text in docs:
+        w = WORD.findall(lower(text or ""))
+        sets.append((doc, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()))
+    parent = {doc: doc for doc, _ in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (a, x) in enumerate(sets):
+        for b, y in sets[:k]:
+            if 5 * len(x & y) >= 4 * len(x | y):
+                low, high = sorted((find(a), find(b)))
+                parent[high] = low
+    return {find(doc) for doc, _ in sets}
