@@ -25,3 +25,10 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and read it again: its lineage ends there."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Delete tables of a work folder that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
