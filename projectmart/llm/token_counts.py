@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from projectmart.llm.arrays import binary
 from projectmart.llm.storage import work_folder
 from projectmart.llm.tokens import Memo, chunk_counts, load, tokenizer_path, white_chunks
+from projectmart.operators.joins import enrich_hot
 
 LIMIT = 2048
 BLOCK_TEXTS = 256
@@ -109,4 +110,5 @@ def token_counts(docs: DataFrame, name: str, cache: str | None = None) -> DataFr
         .groupBy("content")
         .agg(F.first("n_tokens").alias("n_tokens"))
     )
-    return narrow.join(counts, "content").select("doc_id", "n_bytes", "n_tokens")
+    # Copies of one content may be a third of all rows.
+    return enrich_hot(narrow, counts, "content", ["n_tokens"]).select("doc_id", "n_bytes", "n_tokens")
