@@ -55,12 +55,17 @@ def removed_units() -> Column:
     return F.aggregate(lengths, F.lit(0).cast("long"), lambda total, n: total + n)
 
 
+def seeded(pages: DataFrame) -> DataFrame:
+    """(url, label): 1 for hosts of the seeds, 0 for all other hosts, none for what has no host."""
+    host = url_filter.url_parts(F.col("url"))["host"]
+    seed = F.arrays_overlap(F.split(host, "\\."), F.array(*map(F.lit, SEED_LABELS)))
+    return pages.select("url", F.when(host != "", seed.cast("int")).alias("label"))
+
+
 @query("op1_url_filter")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
-    parts = F.split(url_filter.url_parts(F.col("url"))["host"], "\\.")
-    labelled = pages.select("url", F.arrays_overlap(parts, F.array(*map(F.lit, SEED_LABELS))).cast("int").alias("label"))
-    trained = url_filter.train(labelled.filter("label is not null"))
+    trained = url_filter.train(seeded(pages))
     judged = url_filter.judge(pages, URL_RULES, trained)
     return judged.select("_row.page_id", "host", "path", "rule", "verdict", "score")
 

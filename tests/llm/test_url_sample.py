@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from projectmart.llm import url_filter
+from projectmart.llm import queries, url_filter
 
 
 def test_sample_of_repeated_urls(spark):
@@ -27,3 +27,25 @@ def test_sample_of_repeated_urls(spark):
 def test_no_model_without_both_labels(spark):
     rows = spark.createDataFrame([("http://a.b/", 0), ("http://c.d/", None)], "url string, label int")
     assert url_filter.train(rows) is None
+
+
+def test_what_has_no_host_has_no_label(spark):
+    urls = [(None,), ("",), ("no scheme",), ("http:///path",), ("http://a.example/",), ("https://www.spam-farm.example/x",)]
+    labels = {r["url"]: r["label"] for r in queries.seeded(spark.createDataFrame(urls, "url string")).collect()}
+    assert labels == {
+        None: None, "": None, "no scheme": None, "http:///path": None, "http://a.example/": 0,
+        "https://www.spam-farm.example/x": 1,
+    }
+
+
+def test_held_out_pages(spark):
+    """Trees that saw two thirds of the labelled pages, judged by the rest."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url")
+    labelled = queries.seeded(pages)
+    third = F.pmod(F.xxhash64("url", F.lit(7)), F.lit(3)) == 0
+    judged = url_filter.judge(labelled.filter(third), [], url_filter.train(labelled.filter(~third)))
+    rows = judged.select(F.col("_row.label").alias("label"), (F.col("verdict") == "block").alias("blocked")).collect()
+    clean = [r["blocked"] for r in rows if r["label"] == 0]
+    bad = [r["blocked"] for r in rows if r["label"] == 1]
+    assert len(bad) >= 5 and len(clean) >= 500
+    assert sum(clean) <= 0.1 * len(clean) and sum(bad) >= 0.7 * len(bad)
