@@ -21,7 +21,10 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Groups are linked by similarity: shingles of five words, Jaccard 0.8 or more."""
+    """Groups are linked by similarity: shingles of five words, Jaccard 0.8 or more.
+
+    SimHash fingerprints find candidates by Golay keys, which are verified; keys of shingles find the pairs
+    whose fingerprints are too far apart, so that none is lost."""
     return near_copies.one_of_each(docs)
 
 

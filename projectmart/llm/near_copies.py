@@ -1,5 +1,10 @@
 """Near copies by shingle similarity: sets of five words, Jaccard similarity of 0.8 or more.
 
+SimHash comes first: a text's fingerprint of 64 bits is the majority of the hashes of its set, and keys of
+the Golay code (``simhash``) find fingerprints within three bits. Texts of such fingerprints are verified
+on the shingles themselves and linked. That finds the nearest copies, but texts of similarity 0.8 differ
+in ten bits on average, and no number of bits is sure; so keys of shingles find what is left.
+
 Every pair is found, and no other. Two sets of that similarity share one of their first
 n - ceil(0.8 n) + 1 shingles in any order that holds for all texts; here, shingles that a sample finds
 in many texts come last, and the rest follow their hash. Those shingles are the keys. Texts of one
@@ -17,9 +22,6 @@ of them: first with the one that has the fewest shingles of its own before the k
 are most often copies of that one. Then only pairs that are not linked yet, straight or over others,
 are compared, by neighbouring sizes; the join itself holds their parity bits against each other.
 
-Fingerprints of 64 bits cannot do this: texts of similarity 0.8 differ in ten bits on average, and no
-number of bits is sure.
-
 Defined results: null and texts without words are equal to each other and similar to no other; a
 text of fewer than five words is one shingle. Repeated rows are one text. A null document id is never
 the smallest, unless a group has no other. An empty table gives no rows.
@@ -33,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from projectmart.llm import simhash
 from projectmart.llm.arrays import binary
 from projectmart.llm.components import connected
 from projectmart.llm.rows import id_order, kept_rows, row_key
@@ -128,10 +131,11 @@ def _sketches(common):
     def run(batches):
         order = common.value
         for batch in batches:
-            names, sizes, bits, keys = [], [], [], []
+            names, prints, sizes, bits, keys = [], [], [], [], []
             for text in _texts(batch):
                 found = shingles(text)
                 names.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
+                prints.append(simhash.majority(found))
                 sizes.append(len(found))
                 bits.append(parity(found))
                 keys.append(prefix(found, order).view(np.int64))
@@ -140,11 +144,12 @@ def _sketches(common):
                     batch.column(0).cast(pa.int64()),
                     batch.column(1),
                     pa.array(np.array(names, np.uint64).view(np.int64)),
+                    pa.array(np.array(prints, np.uint64).view(np.int64)),
                     pa.array(sizes, pa.int64()),
                     pa.array(bits, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "row", "name", "n", "bits", "keys"],
+                names=["doc_id", "row", "name", "fingerprint", "n", "bits", "keys"],
             )
 
     return run
@@ -256,6 +261,22 @@ def with_both(pairs: DataFrame, table: DataFrame) -> DataFrame:
     return pairs
 
 
+def simhash_pairs(different: DataFrame, folder: str) -> DataFrame:
+    """Pairs (a, b) of different texts (name, fingerprint) that SimHash finds: each text with one of its
+    fingerprint, and those of fingerprints that are linked."""
+    one = different.groupBy("fingerprint").agg(F.min("name").alias("one"), F.count("*").alias("texts"))
+    ones = stored(one, f"{folder}/fingerprints")
+    equal = different.join(ones.filter("texts > 1"), "fingerprint").filter("name <> one")
+    linked = simhash.links(ones)
+    for side in ("a", "b"):
+        named = ones.select(F.col("fingerprint").alias(side), F.col("one").alias(f"one_{side}"))
+        linked = linked.join(named, side)
+    pairs = equal.select(F.col("one").alias("a"), F.col("name").alias("b")).union(
+        linked.select(F.least("one_a", "one_b"), F.greatest("one_a", "one_b"))
+    )
+    return stored(pairs, f"{folder}/near")
+
+
 def possible(pairs: DataFrame, different: DataFrame) -> DataFrame:
     sized = with_both(pairs.distinct(), different.select("name", "n", "bits"))
     return sized.mapInArrow(_possible, "a bigint, b bigint")
@@ -316,9 +337,9 @@ def near_copies(docs: DataFrame, folder: str | None = None) -> tuple[DataFrame,
     common = context.broadcast(common_shingles(docs))
     rows = keyed.mapInArrow(
         _sketches(common),
-        "doc_id bigint, row string, name bigint, n bigint, bits binary, keys array<bigint>",
+        "doc_id bigint, row string, name bigint, fingerprint bigint, n bigint, bits binary, keys array<bigint>",
     )
-    firsts = [F.first(c).alias(c) for c in ("n", "bits", "keys")]
+    firsts = [F.first(c).alias(c) for c in ("fingerprint", "n", "bits", "keys")]
     keyed_texts = stored(
         rows.groupBy("name").agg(F.min(id_order()).alias("first"), *firsts), f"{folder}/keyed"
     )
@@ -329,14 +350,18 @@ def near_copies(docs: DataFrame, folder: str | None = None) -> tuple[DataFrame,
         .repartition("key")
         .sortWithinPartitions("key", "n")
     )
+    near = simhash_pairs(different, folder)
     met = in_order.mapInArrow(_met, "a bigint, b bigint, n bigint, place bigint, key bigint")
     met = stored(met, f"{folder}/met")
     removed(spark, f"{folder}/keyed")
-    few = possible(met.filter("b IS NOT NULL").select("a", "b"), different)
+    # What SimHash found is verified already.
+    few = met.filter("b IS NOT NULL").select("a", "b").join(near, ["a", "b"], "left_anti")
+    few = possible(few, different)
     few = stored(few, f"{folder}/few")
     many = met.filter("b IS NULL").select("a", "n", "place", "key")
 
-    needed = few.select(F.col("a").alias("name")).union(few.select("b")).union(many.select("a")).distinct()
+    ends = near.union(few)
+    needed = ends.select(F.col("a").alias("name")).union(ends.select("b")).union(many.select("a")).distinct()
     wanted = different.join(needed, "name", "left_semi").select("name", F.col("first.row").alias("row"))
     texts = keyed.drop("doc_id").join(wanted, "row").dropDuplicates(["name"]).select("name", "text")
     sets = stored(texts.mapInArrow(_sets, "name bigint, set binary"), f"{folder}/sets")
@@ -344,8 +369,9 @@ def near_copies(docs: DataFrame, folder: str | None = None) -> tuple[DataFrame,
     def verified(pairs: DataFrame) -> DataFrame:
         return with_both(pairs, sets).mapInArrow(_verified, "a bigint, b bigint")
 
-    links = stored(verified(few), f"{folder}/verified")
-    scratch = ["met", "few", "sets", "verified"]
+    links = stored(verified(near), f"{folder}/verified-near")
+    links = links.union(stored(verified(few), f"{folder}/verified"))
+    scratch = ["fingerprints", "near", "met", "few", "sets", "verified-near", "verified"]
     roots = settled(links, folder, "components")
     if not many.isEmpty():
         for k, star in enumerate([*range(STARS), None]):

@@ -44,6 +44,15 @@ LONG_RUN = 1024
 CHUNK = 1 << 15
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of some unsigned 64-bit hashes; zero if there are none."""
+    ones = np.zeros(64, np.int64)
+    for low in range(0, len(hashes), CHUNK):
+        part = hashes[low : low + CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
 def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     """The SimHash of the shingles of a text, lower-cased in A-Z, as unsigned 64 bits."""
     words = text.lower().split()
@@ -55,11 +64,7 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
         shingles = list(map(b" ".join, zip(*(words[i:] for i in range(width)))))
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(s, SEED) for s in shingles], np.uint64)
-    ones = np.zeros(64, np.int64)
-    for low in range(0, len(hashes), CHUNK):
-        part = hashes[low : low + CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+    return majority(hashes)
 
 
 def _fingerprints(width: int):

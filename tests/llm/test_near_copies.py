@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from projectmart.llm import near_copies
+from projectmart.llm import near_copies, simhash
 
 
 def words_of(text):
@@ -77,6 +77,32 @@ def test_kept_rows(frame, copies, monkeypatch, common):
     assert kept.columns == frame(copies).columns
 
 
+def test_simhash_finds_the_nearest(frame, copies, monkeypatch):
+    """Fingerprints within three bits are candidates, and texts that only they find are linked."""
+    draw = random.Random(5)
+    base = [f"t{i}" for i in range(2000)]
+    rows = copies[:40] + [(1000 + i, edited(draw, base, 1)) for i in range(6)]
+    prints = {d: simhash.majority(near_copies.shingles((t or "").encode())) for d, t in rows}
+    assert simhash.majority(np.zeros(0, np.uint64)) == 0
+    found, made = [], near_copies.simhash_pairs
+
+    def seen(different, folder):
+        pairs = made(different, folder)
+        name = {r["name"]: r["first"]["doc_id"] for r in different.collect()}
+        found.extend((name[r["a"]], name[r["b"]]) for r in pairs.collect())
+        return pairs
+
+    monkeypatch.setattr(near_copies, "simhash_pairs", seen)
+    assert ids(corpus_pipeline.near_dedup_stage(None, frame(rows), "")) == kept_by_brute_force(rows)
+    near = {(a, b) for a in range(1000, 1006) for b in range(1000, a) if (prints[a] ^ prints[b]).bit_count() <= 3}
+    # Texts of one fingerprint are compared with one of them.
+    assert near and {d for pair in near for d in pair} <= {d for pair in found for d in pair}
+    # Without keys of shingles, SimHash alone links them.
+    monkeypatch.setattr(near_copies, "prefix", lambda found, common: found[:0])
+    kept = corpus_pipeline.near_dedup_stage(None, frame(rows[-6:]), "")
+    assert kept.count() < 6
+
+
 def test_kept_rows_of_the_corpus(frame, corpus):
     assert ids(near_copies.one_of_each(frame(corpus))) == kept_by_brute_force(corpus)
 
