@@ -60,6 +60,24 @@ def test_key_filter_after_the_dedup_moves_below_it(keyed):
     assert text.index("Window ") < text.index("isnotnull(k")
 
 
+def test_clean_keys_keeps_the_rows_of_the_window(spark):
+    draw = random.Random(8)
+    cells = [None, "", "a", "B", "\u00e4"]
+    rows = [(draw.choice("pqrst"), draw.choice([None, -1.5, 0.0, 2.0, float("nan")]), draw.choice(cells)) for _ in range(200)]
+    df = spark.createDataFrame([*rows, (None, 1.0, "a")], "k string, n double, `t.x` string")
+    kept, window = clean_keys(df, "k"), first_per_key(df.dropna(subset=["k"]).withColumnRenamed("t.x", "t"), ["k"])
+    assert kept.columns == df.columns
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, map(tuple, window.collect())))
+    assert clean_keys(df.select("k"), "k").count() == 5
+
+
+def test_health_of_clean_keys_moves_the_keys_alone(keyed):
+    report = A.key_health(clean_keys(keyed, "k"), "k")
+    assert tuple(report.first()) == (2, 0, 0)
+    text = report._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Window" not in text and "_row" not in text
+
+
 def test_dedup_on_a_hot_key(spark):
     hot = spark.range(0, 30000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
