@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,13 +30,11 @@ def drop_null_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
-def clean_keys(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows without key, then keep the first row of every key.
+def least_per_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The rows of ``first_per_key`` by an aggregate, since the first row is the least of its key.
 
-    Filtering first also keeps the rows without key, which would all meet in one task, out of the
-    shuffle. The first row is the least of its key, so an aggregate gives the same row as
-    ``first_per_key``: each task sends one row per key, too. Who needs the keys alone, as reports on
-    keys do, moves nothing else, and what is grouped by the key next finds its rows in place.
+    Each task sends one row per key, too. Who needs the keys alone, as reports on keys do, moves nothing
+    else, and what is grouped by the key next finds its rows in place.
     """
     rest = [c for c in df.columns if c != key]
     order = [c for c in (order_by or rest) if c != key]
@@ -47,5 +45,27 @@ def clean_keys(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -
         first = F.min(row)
     else:
         first = F.min_by(row, F.struct(*[F.col(f"`{c}`") for c in order]))
-    kept = drop_null_keys(df, key).groupBy(key).agg(first.alias("_row"))
+    kept = df.groupBy(key).agg(first.alias("_row"))
     return kept.select(*[F.col(f"`{c}`" if c == key else f"_row.`{c}`") for c in df.columns])
+
+
+def clean_keys(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
+    """Drop rows without key, then keep the first row of every key.
+
+    Filtering first also keeps the rows without key, which would all meet in one task, out of the
+    shuffle.
+    """
+    return least_per_key(drop_null_keys(df, key), key, order_by)
+
+
+def leading(df: DataFrame, key: str, read: Collection[str]) -> DataFrame:
+    """``df`` with what follows the last column that is read as unknown, for ``clean_keys``.
+
+    The first row of a key, in the order of all columns, agrees up to any column with the first in
+    the order of the columns up to there. So these suffice for those who read no others, and the
+    rest need not move.
+    """
+    others = [c for c in df.columns if c != key]
+    kept = {key, *others[: 1 + max((i for i, c in enumerate(others) if c in read), default=-1)]}
+    unknown = {f.name: F.lit(None).cast(f.dataType) for f in df.schema.fields if f.name not in kept}
+    return df.withColumns(unknown)

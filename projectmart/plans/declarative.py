@@ -6,7 +6,7 @@ expectation are dropped. The results differ from the batch path on purpose.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from projectmart.functions.values import (
 from projectmart.operators.aggregates import avg_if, hundredths, mean, money_sum
 from projectmart.operators.expect import expect, expect_or_drop, violations
 from projectmart.operators.joins import enrich
-from projectmart.operators.keys import first_per_key
+from projectmart.operators.keys import leading, least_per_key
 from projectmart.plans.gold import purchases_by_manager
 from projectmart.sources.schemas import PRIMARY_KEYS
 
@@ -72,6 +72,20 @@ def required_rules() -> dict[str, dict[str, Column]]:
     }
 
 
+# Raw columns that the expectations read beside the key.
+CHECKED = {
+    "dim_employee": ("full_name", "role"),
+    "dim_projects": ("contract_value_eur", "floor_area_m2"),
+    "dim_vendors": (),
+    "fact_schedule_milestones": (),
+    "fact_project_costs": ("budget_eur",),
+    "fact_purchase_orders": ("po_value_eur",),
+    "fact_invoices": ("amount_eur",),
+    "fact_subcontractor_performance": (),
+}
+WARNED = {"fact_subcontractor_performance": ("quality_score", "safety_score")}
+
+
 def warning_rules() -> dict[str, dict[str, Column]]:
     """Expectations that are only counted."""
 
@@ -184,7 +198,7 @@ def cleaned_table(table: str, raw: DataFrame, order_by: Sequence[str] | None = N
     Of the rows without key one remains and breaks the key expectation; ``silver_table`` drops
     them all before.
     """
-    return stamp(_CLEANERS[table](first_per_key(raw, [PRIMARY_KEYS[table]], order_by)))
+    return stamp(_CLEANERS[table](least_per_key(raw, PRIMARY_KEYS[table], order_by)))
 
 
 def silver_table(
@@ -229,10 +243,23 @@ def silver_tables(raw: Tables) -> dict[str, DataFrame]:
     return {table: silver_table(table, raw[table]) for table in _CLEANERS}
 
 
-def expectation_report(raw: Tables, rules: Mapping[str, Mapping[str, Column]]) -> DataFrame:
-    """Violations per table and rule, counted on the deduplicated rows, one pass per table."""
+def expectation_report(
+    raw: Tables,
+    rules: Mapping[str, Mapping[str, Column]],
+    reads: Mapping[str, Collection[str]] | None = None,
+) -> DataFrame:
+    """Violations per table and rule, counted on the deduplicated rows, one pass per table.
+
+    ``reads`` has the raw columns that the rules of a table read beside its key, where they are known.
+    """
+    reads = reads or {}
+
+    def rows(table: str) -> DataFrame:
+        read = reads.get(table)
+        return raw[table] if read is None else leading(raw[table], PRIMARY_KEYS[table], read)
+
     parts = [
-        violations(cleaned_table(table, raw[table]), rules[table]).select(
+        violations(cleaned_table(table, rows(table)), rules[table]).select(
             F.lit(table).alias("table"), "*"
         )
         for table in rules

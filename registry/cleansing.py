@@ -150,12 +150,12 @@ def _expectation_sql(rules) -> str:
 
 @query("ex_1_expect_or_drop", _expectation_sql(O.EXPECTED))
 def _(t: Tables):
-    return declarative.expectation_report(t.raw, declarative.required_rules())
+    return declarative.expectation_report(t.raw, declarative.required_rules(), declarative.CHECKED)
 
 
 @query("ex_2_expect", _expectation_sql(O.WARNED))
 def _(t: Tables):
-    return declarative.expectation_report(t.raw, declarative.warning_rules())
+    return declarative.expectation_report(t.raw, declarative.warning_rules(), declarative.WARNED)
 
 
 # --- cleansing of single values -----------------------------------------------------------------

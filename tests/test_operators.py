@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from projectmart.operators import aggregates as A
 from projectmart.operators.expect import expect, expect_or_drop, violations
 from projectmart.operators.joins import enrich, orphan_rate, orphans
-from projectmart.operators.keys import clean_keys, first_per_key
+from projectmart.operators.keys import clean_keys, first_per_key, leading
 from projectmart.operators.topk import top_k
 
 ROWS = [("a", 2, "x"), ("a", 1, "y"), ("a", 1, None), (None, 5, "z"), (None, 4, "z"), ("b", 3, "w")]
@@ -78,6 +78,18 @@ def test_health_of_clean_keys_moves_the_keys_alone(keyed):
     assert text.count("Exchange hashpartitioning") == 1 and "Window" not in text and "_row" not in text
 
 
+def test_what_follows_the_last_column_read_decides_nothing(spark):
+    draw = random.Random(3)
+    pool = (None, 0, 1)
+    rows = [(draw.choice("pqr"), draw.choice(pool), draw.choice(pool), draw.choice(pool), draw.choice("xy")) for _ in range(60)]
+    df = spark.createDataFrame(rows, "k string, a int, b int, c int, d string")
+    whole = clean_keys(df, "k")
+    for read in ((), ("a",), ("b",), ("b", "a"), ("c",), ("d",)):
+        found = clean_keys(leading(df, "k", read), "k").select("k", *read)
+        assert sorted(found.collect(), key=str) == sorted(whole.select("k", *read).collect(), key=str)
+    assert "d#" not in clean_keys(leading(df, "k", ("b",)), "k")._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[1]
+
+
 def test_dedup_on_a_hot_key(spark):
     hot = spark.range(0, 30000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
