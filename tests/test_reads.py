@@ -42,3 +42,8 @@ def test_a_report_on_expectations_moves_what_they_read(spark, small):
     text = report._jdf.queryExecution().optimizedPlan().toString()
     # The names and dates of milestones and the months of costs are behind what the rules read.
     assert "Step " not in text and "MMMM" not in text
+
+
+def test_the_splits_are_worked_out_once(spark, small):
+    found = QUERIES["ml_10_shapley_of_two_splits"](spark, small)
+    assert found.inputFiles() and all("/splits/" in f for f in found.inputFiles())
