@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A summary of keys has a bit for each of 67 million places, in words of 64: a fixed number of rows.
+WORDS = 1 << 20
+
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
@@ -69,3 +72,32 @@ def leading(df: DataFrame, key: str, read: Collection[str]) -> DataFrame:
     kept = {key, *others[: 1 + max((i for i, c in enumerate(others) if c in read), default=-1)]}
     unknown = {f.name: F.lit(None).cast(f.dataType) for f in df.schema.fields if f.name not in kept}
     return df.withColumns(unknown)
+
+
+def _marked(df: DataFrame, key: str, keys: DataFrame, how: str) -> tuple[DataFrame, Column]:
+    """``df`` beside a summary of ``keys``, and whether the bit of the row's key is set there.
+
+    The summary has at most ``WORDS`` rows, however many keys there are, and is broadcast.
+    """
+    number = F.xxhash64(key)
+    word = F.shiftrightunsigned(number, 6).bitwiseAND(F.lit(WORDS - 1))
+    bit = number.bitwiseAND(F.lit(63)).cast("int")
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    words = keys.groupBy(word.alias("_word")).agg(F.bit_or(set_bit).alias("_bits"))
+    marked = df.withColumn("_word", word).join(F.broadcast(words), "_word", how)
+    return marked, F.getbit(F.coalesce("_bits", F.lit(0).cast("bigint")), bit) == 1
+
+
+def of_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows with one of some keys. Rows that cannot have one, by a summary of the keys, stay where
+    they are; the more keys, the more rows move."""
+    marked, hit = _marked(df, key, keys, "inner")
+    return marked.filter(hit).select(df.columns).join(keys, key, "left_semi")
+
+
+def without_keys(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with none of some keys, in two parts: those that cannot have one, by a summary of the
+    keys, which stay where they are, and the others, which had to be looked up. Rows without key count."""
+    marked, hit = _marked(df, key, keys, "left")
+    doubtful = marked.filter(hit).select(df.columns).join(keys, key, "left_anti")
+    return marked.filter(~hit).select(df.columns), doubtful

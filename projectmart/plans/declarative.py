@@ -192,13 +192,20 @@ _CLEANERS = {
 }
 
 
-def cleaned_table(table: str, raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+def cleaned_table(
+    table: str,
+    raw: DataFrame,
+    order_by: Sequence[str] | None = None,
+    placed: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """One row per key with the cleaned columns, before the expectations.
 
     Of the rows without key one remains and breaks the key expectation; ``silver_table`` drops
-    them all before.
+    them all before. ``placed`` moves the rows to where they are written, before they get the columns
+    that follow from others.
     """
-    return stamp(_CLEANERS[table](least_per_key(raw, PRIMARY_KEYS[table], order_by)))
+    rows = least_per_key(raw, PRIMARY_KEYS[table], order_by)
+    return stamp(_CLEANERS[table](placed(rows) if placed else rows))
 
 
 def silver_table(
@@ -207,6 +214,7 @@ def silver_table(
     *,
     order_by: Sequence[str] | None = None,
     observed: Mapping[str, Observation] | None = None,
+    placed: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The cleaned table without the rows that break a required expectation.
 
@@ -217,7 +225,7 @@ def silver_table(
     observed = observed or {}
     (key_rule, known), *others = required_rules()[table].items()
     keyed = expect_or_drop(raw, {key_rule: known}, observation=observed.get("keys"))
-    cleaned = cleaned_table(table, keyed, order_by)
+    cleaned = cleaned_table(table, keyed, order_by, placed)
     warned = expect(
         cleaned, warning_rules().get(table, {}), observation=observed.get("warnings")
     )

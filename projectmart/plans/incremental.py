@@ -3,7 +3,8 @@
 The silver fact and its mart are partitioned alike, by a value that follows from the group of the
 mart, so a mart partition needs one silver partition only. New rows may repeat old keys, and an older
 row may still be the one that stays; hence the keys of the new rows, and no others, are cleansed once more from
-all raw rows of these keys. The partitions in which these keys were and are make up what changed.
+all raw rows of these keys. Keys that only new rows have are known by counting keys; of old raw rows and of
+silver rows, those of new keys move, and others stay in place. The partitions in which these keys were and are make up what changed.
 Raw files and silver partitions are skipped by the range of the new keys.
 
 What goes through the driver: the smallest and largest new key, and the changed partitions (months,
@@ -22,7 +23,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from projectmart.functions.dates import year_month
+from projectmart.operators.keys import of_keys, without_keys
 from projectmart.plans import declarative
+from projectmart.plans.audit import union
 from projectmart.sources.schemas import PRIMARY_KEYS, RAW_SCHEMAS
 from projectmart.sources.tables import Layers, exists, save, scan, shared_folder
 
@@ -80,8 +83,15 @@ def _build_mart(spark: SparkSession, layers: Layers, mart: str, fact: DataFrame)
 def build_partitioned(spark: SparkSession, layers: Layers, mart: str) -> None:
     """Write the silver fact of a mart and the mart anew, in partitions."""
     spec = MARTS[mart]
-    clean = spec.placed(declarative.silver_table(spec.fact, scan(spark, layers, "bronze", spec.fact)))
-    save(_spread(clean, spec.column), layers, "silver", spec.fact, partition_by=[spec.column])
+    raw = scan(spark, layers, "bronze", spec.fact)
+    if spec.by_key:
+        # The partition is known before cleansing, so that raw columns move alone.
+        place = lambda rows: _spread(spec.placed(rows), spec.column)
+        clean = declarative.silver_table(spec.fact, raw, placed=place)
+        clean = clean.select(*[c for c in clean.columns if c != spec.column], spec.column)
+    else:
+        clean = _spread(spec.placed(declarative.silver_table(spec.fact, raw)), spec.column)
+    save(clean, layers, "silver", spec.fact, partition_by=[spec.column])
     built = _build_mart(spark, layers, mart, scan(spark, layers, "silver", spec.fact))
     save(_spread(built, spec.column), layers, "gold", mart, partition_by=[spec.column])
 
@@ -103,7 +113,7 @@ def _replace(df: DataFrame, layers: Layers, layer: str, table: str, column: str,
     none of."""
     spark, name = df.sparkSession, layers.name(layer, table)
     seen = Observation()
-    observed = _spread(df.select(scan(spark, layers, layer, table).columns), column).observe(
+    observed = df.select(scan(spark, layers, layer, table).columns).observe(
         seen, F.collect_set(column).alias("filled"), F.count_if(F.col(column).isNull()).alias("unknown")
     )
     with _dynamic_overwrite(spark):
@@ -119,29 +129,42 @@ def refresh_changed(spark: SparkSession, layers: Layers, mart: str, new: DataFra
     """Bring the silver fact and the mart up to date with ``new`` rows, which the raw table already
     holds; returns the partitions that were rewritten."""
     spec = MARTS[mart]
-    key = PRIMARY_KEYS[spec.fact]
+    key, names = PRIMARY_KEYS[spec.fact], RAW_SCHEMAS[spec.fact].fieldNames()
     work = shared_folder(spark)
-    new.select(key).dropna().distinct().write.parquet(f"{work}/keys")
+    # Read several times below.
+    new.select(names).dropna(subset=[key]).write.parquet(f"{work}/new")
+    new = spark.read.parquet(f"{work}/new")
+    new.groupBy(key).agg(F.count("*").alias("_new")).write.parquet(f"{work}/keys")
     keys = spark.read.parquet(f"{work}/keys")
     low, high = keys.agg(F.min(key), F.max(key)).first()
     if low is None:
         return []
     in_range = F.col(key).between(low, high)
-    raw = scan(spark, layers, "bronze", spec.fact).filter(in_range).join(keys, key, "left_semi")
-    clean = declarative.silver_table(spec.fact, raw.select(RAW_SCHEMAS[spec.fact].fieldNames()))
-    spec.placed(clean).write.parquet(f"{work}/clean")
+    stored = scan(spark, layers, "bronze", spec.fact).filter(in_range)
+    # Keys that raw rows before had, too; alone they move, and of the raw rows theirs only.
+    counts = stored.groupBy(key).agg(F.count("*").alias("_all")).join(keys, key)
+    counts.filter("_all > _new").select(key).write.parquet(f"{work}/again")
+    again = spark.read.parquet(f"{work}/again")
+    fresh = union(without_keys(new, key, again))
+    raw = fresh.unionByName(of_keys(stored.select(names), key, again))
+    spec.placed(declarative.silver_table(spec.fact, raw)).write.parquet(f"{work}/clean")
     clean = spark.read.parquet(f"{work}/clean")
 
     before = scan(spark, layers, "silver", spec.fact)
-    old = before.filter(in_range).join(keys, key, "left_semi")
+    old = before.filter(in_range).select(key, spec.column).join(keys.select(key), key, "left_semi")
+    old.write.parquet(f"{work}/old")
+    old = spark.read.parquet(f"{work}/old")
     touched = old.select(spec.column).union(clean.select(spec.column)).distinct()
     changed = [r[0] for r in touched.collect()]
     if not changed:
         return []
-    rest = _within(before, spec.column, changed).join(keys, key, "left_anti")
-    after = rest.unionByName(clean)
+    kept, looked_up = without_keys(_within(before, spec.column, changed), key, old.select(key))
+    moved = looked_up.unionByName(clean)
     # The mart first: what changed is seen by where silver still has the keys, also in a second try.
-    _replace(_build_mart(spark, layers, mart, after), layers, "gold", mart, spec.column, changed)
+    built = _build_mart(spark, layers, mart, kept.unionByName(moved))
+    _replace(_spread(built, spec.column), layers, "gold", mart, spec.column, changed)
+    # Rows that stay are read by partition and written as they come.
+    after = kept.unionByName(_spread(moved.select(kept.columns), spec.column))
     _replace(after, layers, "silver", spec.fact, spec.column, changed)
     return sorted(changed, key=str)
 
