@@ -30,7 +30,7 @@ from projectmart.functions.values import (
 from projectmart.operators.aggregates import avg_if, hundredths, mean, money_sum
 from projectmart.operators.expect import expect, expect_or_drop, violations
 from projectmart.operators.joins import enrich
-from projectmart.operators.keys import leading, least_per_key
+from projectmart.operators.keys import first_per_key, leading, least_per_key
 from projectmart.plans.gold import purchases_by_manager
 from projectmart.sources.schemas import PRIMARY_KEYS
 
@@ -204,7 +204,7 @@ def cleaned_table(
     them all before. ``placed`` moves the rows to where they are written, before they get the columns
     that follow from others.
     """
-    rows = least_per_key(raw, PRIMARY_KEYS[table], order_by)
+    rows = first_per_key(raw, [PRIMARY_KEYS[table]], order_by)
     return stamp(_CLEANERS[table](placed(rows) if placed else rows))
 
 
@@ -263,11 +263,12 @@ def expectation_report(
     reads = reads or {}
 
     def rows(table: str) -> DataFrame:
-        read = reads.get(table)
-        return raw[table] if read is None else leading(raw[table], PRIMARY_KEYS[table], read)
+        key, read = PRIMARY_KEYS[table], reads.get(table)
+        known = raw[table] if read is None else leading(raw[table], key, read)
+        return _CLEANERS[table](least_per_key(known, key))
 
     parts = [
-        violations(cleaned_table(table, rows(table)), rules[table]).select(
+        violations(rows(table), rules[table]).select(
             F.lit(table).alias("table"), "*"
         )
         for table in rules
