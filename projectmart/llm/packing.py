@@ -19,17 +19,16 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from projectmart.llm.storage import stored, work_folder
-from projectmart.llm.tokens import ChunkIds, Memo, load, space_chunks, tokenizer_path
+from projectmart.llm.tokens import document_ids
 
 CAPACITY = 1024
-END = (0).to_bytes(4, "little")
-BLOCK_TEXTS = 128
+END = 0
+BLOCK_ROWS = 1024
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint,"
@@ -43,29 +42,28 @@ PACKED = (
 
 def _pieces(name: str, capacity: int):
     def run(batches):
-        memo = Memo(ChunkIds(load(tokenizer_path(name))))
-        task, seen = TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
-            ids, texts = batch.column(0).cast(pa.int64()), pc.fill_null(batch.column(1), "")
-            for low in range(0, batch.num_rows, BLOCK_TEXTS):
-                chunks = [space_chunks(t) for t in texts.slice(low, BLOCK_TEXTS).to_pylist()]
-                known, rows = memo.values(chunks), []
-                for doc, parts in zip(ids.slice(low, BLOCK_TEXTS).to_pylist(), chunks):
-                    tokens = b"".join(map(known.__getitem__, parts)) + END
-                    n = len(tokens) // 4
-                    for start in range(0, n, capacity):
-                        piece = tokens[4 * start : 4 * (start + capacity)]
-                        length = len(piece) // 4
-                        rows.append((doc, start, length, zlib.crc32(piece), n, task, seen[length]))
-                        seen[length] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*rows)],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "nth"],
-                )
+        task, seen, rows = TaskContext.get().partitionId(), defaultdict(int), []
+        for doc, tokens in document_ids(batches, name, END):
+            n = len(tokens)
+            for start in range(0, n, capacity):
+                piece = tokens[start : start + capacity]
+                length = len(piece)
+                rows.append((doc, start, length, zlib.crc32(piece), n, task, seen[length]))
+                seen[length] += 1
+            if len(rows) >= BLOCK_ROWS:
+                yield _batch(rows)
+                rows = []
+        if rows:
+            yield _batch(rows)
 
     return run
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = "doc_id start length ids_crc32 doc_tokens task nth".split()
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+
+
 def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Packing patterns (lengths of a pack) and their counts for a histogram of lengths."""
     # Equal packs by the room that they have left.
