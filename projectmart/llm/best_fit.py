@@ -11,7 +11,7 @@ final when its bin closes. A task holds the open bins only, at most ``OPEN`` tim
 
 Defined results: a null text is empty and has the end id alone. Repeated rows and rows of equal ids
 are packed each, null ids are kept, and of bins with equal room the latest is taken. An empty table
-gives no rows. A text of any length is held once as text and once as tokens.
+gives no rows. A text of any length is held whole, as text, chunks and tokens.
 """
 
 from __future__ import annotations
@@ -19,20 +19,19 @@ from __future__ import annotations
 import zlib
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from projectmart.llm.storage import stored, work_folder
-from projectmart.llm.tokens import ChunkIds, Memo, load, space_chunks, tokenizer_path
+from projectmart.llm.tokens import document_ids
 
 CAPACITY = 2048
 OPEN = 256
 # Tasks whose open bins are placed anew together.
 TEAM = 8
-END = (0).to_bytes(4, "little")
-BLOCK_TEXTS = 128
+END = 0
+BLOCK_BINS = 512
 # Sequences of one task have numbers of so many bits.
 TASK_BITS = 33
 
@@ -111,22 +110,19 @@ def _batch(rows: list[tuple], **constants) -> pa.RecordBatch:
 
 def _packer(name: str, capacity: int, most: int):
     def run(batches):
-        memo = Memo(ChunkIds(load(tokenizer_path(name))))
-        task = TaskContext.get().partitionId()
+        task, closed = TaskContext.get().partitionId(), []
         bins, number = Bins(capacity, most), task << TASK_BITS
-        for batch in batches:
-            ids, texts = batch.column(0).cast(pa.int64()), pc.fill_null(batch.column(1), "")
-            for low in range(0, batch.num_rows, BLOCK_TEXTS):
-                chunks = [space_chunks(t) for t in texts.slice(low, BLOCK_TEXTS).to_pylist()]
-                known, closed = memo.values(chunks), []
-                for doc, parts in zip(ids.slice(low, BLOCK_TEXTS).to_pylist(), chunks):
-                    tokens = b"".join(map(known.__getitem__, parts)) + END
-                    for nth, (start, length) in enumerate(cut(len(tokens) // 4, capacity)):
-                        crc = zlib.crc32(tokens[4 * start : 4 * (start + length)])
-                        closed += bins.place(length, (doc, nth, start, length, crc))
-                if closed:
-                    yield _batch(_rows(closed, number), task=task, open=False)
-                    number += len(closed)
+        for doc, tokens in document_ids(batches, name, END):
+            for nth, (start, length) in enumerate(cut(len(tokens), capacity)):
+                crc = zlib.crc32(tokens[start : start + length])
+                closed += bins.place(length, (doc, nth, start, length, crc))
+            if len(closed) >= BLOCK_BINS:
+                yield _batch(_rows(closed, number), task=task, open=False)
+                number += len(closed)
+                closed = []
+        if closed:
+            yield _batch(_rows(closed, number), task=task, open=False)
+            number += len(closed)
         if rest := bins.rest():
             yield _batch(_rows(rest, number), task=task, open=True)
 
