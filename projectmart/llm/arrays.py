@@ -11,6 +11,9 @@ import pyarrow.compute as pc
 # Texts are worked on in blocks of about this many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 2 << 20
 
+# Elements of a part whose arrays stay in the processor's cache.
+CACHED = 1 << 14
+
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
 MASK = (1 << 64) - 1
@@ -84,36 +87,69 @@ def word_spans(data, offsets, table) -> tuple[np.ndarray, np.ndarray, np.ndarray
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+_BASES = (BYTE_BASE, pow(BYTE_BASE, -1, 1 << 64))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
 
 
 class SpanHash:
-    """64-bit hashes of spans of byte arrays by prefix sums; powers are computed once."""
+    """64-bit hashes of spans of byte arrays by prefix sums. A power of the base is the product of
+    one of the ``CACHED`` lowest and one of a multiple of ``CACHED``; both tables stay small."""
 
     def __init__(self):
-        self._size, self._powers, self._inverse = 0, None, None
+        self._size, self._part = 0, CACHED
+        self._low = [_powers(base, self._part) for base in _BASES]
+        self._high = [_powers(pow(base, self._part, 1 << 64), 0) for base in _BASES]
 
     def _grow(self, n: int) -> None:
         if n <= self._size:
             return
-        self._size = max(n, 2 * BLOCK_BYTES)
-        for name, base in (("_powers", BYTE_BASE), ("_inverse", pow(BYTE_BASE, -1, 1 << 64))):
-            steps = np.full(self._size, base, np.uint64)
-            steps[0] = 1
-            setattr(self, name, np.cumprod(steps, dtype=np.uint64))
+        parts = 2 * n // self._part + 1
+        self._size = parts * self._part
+        self._high = [_powers(pow(base, self._part, 1 << 64), parts) for base in _BASES]
+
+    def _inverse(self, at: np.ndarray) -> np.ndarray:
+        high, low = np.divmod(at, self._part)
+        out = self._low[1][low]
+        out *= self._high[1][high]
+        return out
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
         self._grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self._powers[: len(data)], out=sums[1:])
+        for nth, low in enumerate(range(0, len(data), self._part)):
+            part = data[low : low + self._part].astype(np.uint64)
+            part += np.uint64(1)
+            part *= self._low[0][: len(part)]
+            part *= self._high[0][nth]
+            part[:1] += sums[low : low + 1]
+            np.cumsum(part, out=sums[low + 1 : low + 1 + len(part)])
         return sums
 
     def spans(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        raw = (sums[ends] - sums[starts]) * self._inverse[starts]
-        return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(WORD_BASE))
+        raw = sums[ends]
+        raw -= sums[starts]
+        raw *= self._inverse(starts)
+        raw += (ends - starts).astype(np.uint64) * np.uint64(WORD_BASE)
+        return mix(raw)
+
+    def runs(self, sums: np.ndarray, low: int, high: int, width: int) -> np.ndarray:
+        """``spans`` of the ``width`` bytes from each of the places ``low`` to ``high`` on."""
+        raw = sums[low + width : high + width] - sums[low:high]
+        raw *= self._inverse(np.arange(low, high))
+        raw += np.uint64((width * WORD_BASE) & MASK)
+        return mix(raw)
 
 
 def windows(values: np.ndarray, width: int) -> np.ndarray:

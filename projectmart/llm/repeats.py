@@ -107,7 +107,7 @@ class Shard:
         key, self.start, self.length, text = self.parsed.stretches()
         self.key = key >> np.uint64(64 - KEY_BITS - self.bucket_bits)
         self.doc = self.ids[text]
-        order = np.argsort(self.key, kind="stable")
+        order = np.argsort(self.key)
         sorted_key = self.key[order]
         new = np.append(True, sorted_key[1:] != sorted_key[:-1]) if len(order) else np.zeros(0, bool)
         first = np.flatnonzero(new)
@@ -115,12 +115,14 @@ class Shard:
         # For each stretch, the place of its key among the different ones.
         self.key_place = np.empty(len(order), np.int64)
         self.key_place[order] = np.cumsum(new) - 1
-        doc = self.doc[order]
-        self.several = (
-            np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
-            if len(first)
-            else np.zeros(0, bool)
-        )
+        self._order, self._first = order, first
+
+    def several(self) -> np.ndarray:
+        """Whether each of the different keys is in several documents of the shard."""
+        if not len(self._first):
+            return np.zeros(0, bool)
+        doc = self.doc[self._order]
+        return np.minimum.reduceat(doc, self._first) != np.maximum.reduceat(doc, self._first)
 
     def cuts(self, names: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
         """(bucket, low, high) of sorted names whose upper bits, above ``bits``, are the bucket."""
@@ -144,8 +146,9 @@ class Shard:
         return self.cuts(self.keys, KEY_BITS)
 
     def ask_keys(self):
+        several = self.several()
         for bucket, low, high in self.key_cuts():
-            yield bucket, _narrow(self.keys[low:high]), _bits(self.several[low:high]), b""
+            yield bucket, _narrow(self.keys[low:high]), _bits(several[low:high]), b""
 
     def repeated(self) -> np.ndarray:
         """Numbers of the stretches whose key occurs in several documents."""
@@ -317,7 +320,7 @@ def _answer_windows(table: pa.Table) -> pa.Table:
     parts = [np.frombuffer(b, np.uint64) for b in names]
     ids = [_unzip(b, np.int64) for b in docs]
     name, doc = np.concatenate(parts), np.concatenate(ids)
-    order = np.argsort(name, kind="stable")
+    order = np.argsort(name)
     merged, d = name[order], doc[order]
     first = np.flatnonzero(np.append(True, merged[1:] != merged[:-1]))
     merged, least = merged[first], np.minimum.reduceat(d, first)
@@ -402,11 +405,11 @@ def covered_runs(n: int, bounds: np.ndarray, removed, width: int):
     ``removed`` holds (first windows, numbers of windows); ``bounds`` are the units where texts
     start and, last, ``n``.
     """
-    change = np.zeros(n + 1, np.int64)
+    change = np.zeros(n + 1, np.int32)
     for start, length in removed:
         np.add.at(change, start, 1)
         np.add.at(change, start + length - 1 + width, -1)
-    gone = np.cumsum(change[:-1]) > 0
+    gone = np.cumsum(change[:-1], dtype=np.int32) > 0
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     first = gone & np.append(True, ~gone[:-1])[:n] | gone & edge[:n]

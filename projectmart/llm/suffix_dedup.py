@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from projectmart.llm.arrays import SpanHash
+from projectmart.llm.arrays import CACHED, SpanHash
 from projectmart.llm.repeats import covered_runs, remove_repeats
 
 WIDTH = 50
@@ -27,34 +27,41 @@ WIDTH = 50
 GRAM = 26
 
 
+# The least numbers of one byte, of two, ... of eight.
+_BYTE_SIZES = np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)
+
+
 def words_of_eight(data: np.ndarray) -> np.ndarray:
     """The eight bytes from every position on as one number, in byte order; zeros after the end."""
-    padded = np.zeros(len(data) + 8, np.uint8)
+    padded = np.zeros(len(data) + 16, np.uint8)
     padded[: len(data)] = data
     out = np.zeros(len(data), np.uint64)
-    for j in range(8):
-        out = (out << np.uint64(8)) | padded[j : j + len(data)]
+    for j in range(min(8, len(data))):
+        n = (len(data) - j + 7) // 8
+        out[j::8] = padded[j : j + 8 * n].view(">u8")
     return out
 
 
 def suffix_array(data: np.ndarray, eight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in order, and the rank of each, by refining groups that are not sorted yet."""
     n = len(data)
-    order = np.argsort(eight, kind="stable")
+    order = np.argsort(eight)
+    if n < 1 << 29:
+        order = order.astype(np.int32)
     # The rank of a suffix is where its group starts; suffixes of fewer than eight bytes may tie
     # with zero bytes and are told apart by the refinement, as nothing comes after their end.
     start = np.append(True, eight[order][1:] != eight[order][:-1]) if n else np.zeros(0, bool)
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, order.dtype)
     rank[order] = np.maximum.accumulate(np.where(start, np.arange(n), 0))
     shift = 8
     # The last suffixes are shorter than the bytes compared so far.
     open_slots = np.flatnonzero(~start | ~np.append(start[1:], True)) if n else np.zeros(0, np.int64)
     while len(open_slots):
         suffix = order[open_slots]
-        after = suffix + shift
+        after = suffix.astype(np.int64) + shift
         # A suffix that ends within the bytes compared comes first, the shorter one before.
         second = np.where(after < n, shift + 1 + rank[np.minimum(after, n - 1)], n - suffix)
-        joint = rank[suffix] * (2 * n + shift + 1) + second
+        joint = rank[suffix].astype(np.int64) * (2 * n + shift + 1) + second
         sort = np.argsort(joint)
         suffix, joint = suffix[sort], joint[sort]
         order[open_slots] = suffix
@@ -74,25 +81,22 @@ def common_prefixes(data: np.ndarray, eight: np.ndarray, order: np.ndarray) -> n
     a, b = order[1:], order[:-1]
     different = (a == 0) | (b == 0) | (data[a - 1] != data[b - 1])
     i, j = a[different], b[different]
-    reach = np.zeros(len(i), np.int64)
-    active = np.arange(len(i))
+    reach = np.zeros(len(i), order.dtype)
+    active = np.arange(len(i), dtype=order.dtype)
     while len(active):
         x, y = i[active] + reach[active], j[active] + reach[active]
         inside = (x < n) & (y < n)
         active, x, y = active[inside], x[inside], y[inside]
         differ = eight[x] ^ eight[y]
         # Equal leading bytes of two numbers; not beyond the end of the text.
-        equal = np.full(len(x), 8, np.int64)
-        some = np.flatnonzero(differ)
-        bits = differ[some]
-        equal[some] = sum((bits >> np.uint64(64 - 8 * k)) == 0 for k in range(1, 8))
+        equal = 8 - np.searchsorted(_BYTE_SIZES, differ, "right")
         equal = np.minimum(equal, np.minimum(n - x, n - y))
         reach[active] += equal
         active = active[equal == 8]
-    at = np.zeros(n, np.int64)
+    at = np.zeros(n, order.dtype)
     at[i] = i + reach
-    by_position = np.maximum(np.maximum.accumulate(at) - np.arange(n), 0)
-    prefixes = np.zeros(n, np.int64)
+    by_position = np.maximum(np.maximum.accumulate(at) - np.arange(n, dtype=order.dtype), 0)
+    prefixes = np.zeros(n, order.dtype)
     prefixes[1:] = by_position[a]
     return prefixes
 
@@ -101,19 +105,22 @@ class Regions:
     """The suffix array of the parts of a shard that hold candidate windows."""
 
     def __init__(self, data: np.ndarray, start: np.ndarray, length: np.ndarray):
-        inside = np.zeros(len(data) + 1, np.int64)
-        np.add.at(inside, start, 1)
-        np.add.at(inside, start + length, -1)
-        inside = np.cumsum(inside[:-1]) > 0
-        self._place = np.cumsum(inside) - 1
-        text = data[inside]
+        order = np.argsort(start, kind="stable")
+        low, high = start[order], np.maximum.accumulate((start + length)[order])
+        new = np.append(True, low[1:] > high[:-1])[: len(low)]
+        # Where regions start in the shard and, without what is between them, in the text of regions.
+        self._low = low[new]
+        sizes = high[np.append(new[1:], True)[: len(low)]] - self._low
+        self._moved = self._low - (np.cumsum(sizes) - sizes)
+        text = data[np.repeat(self._moved, sizes) + np.arange(sizes.sum())]
         eight = words_of_eight(text)
         order, self._rank = suffix_array(text, eight)
         self._prefixes = common_prefixes(text, eight, order)
 
     def classes(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Equal numbers, from 0 without gaps, for equal strings."""
-        rank = self._rank[self._place[start]]
+        region = np.searchsorted(self._low, start, "right") - 1
+        rank = self._rank[start - self._moved[region]]
         order = np.lexsort((rank, length))
         rank, length = rank[order], length[order]
         same = np.zeros(len(order), bool)
@@ -138,29 +145,42 @@ class Bytes:
 
     def stretches(self):
         """(key, first window, number of windows, text) of runs of windows of equal keys."""
-        n, gram = len(self.data), min(GRAM, self.width)
+        n = len(self.data) - self.width + 1
         none = np.zeros(0, np.int64)
-        if n < self.width:
+        if n <= 0:
             return none.astype(np.uint64), none, none, none
-        starts = np.arange(n - gram + 1)
-        least = self._hasher.spans(self._sums, starts, starts + gram)
+        # Windows lie inside one text: where those of a text start, and where those across its end.
+        sizes = np.maximum(np.diff(self.offsets) - self.width + 1, 0)
+        bounds = self.offsets[:-1][sizes > 0]
+        new = np.zeros(n + 1, bool)
+        new[bounds] = new[bounds + sizes[sizes > 0]] = True
+        keys, last = [], None
+        for low in range(0, n, CACHED):
+            part = self._keys(low, min(low + CACHED, n))
+            here = new[low : low + len(part)]
+            here[1:] |= part[1:] != part[:-1]
+            here[0] |= part[0] != last
+            keys.append(part[here])
+            last = part[-1]
+        new[n] = True
+        first = np.flatnonzero(new)
+        length = np.diff(first)
+        first = first[:-1]
+        text = np.searchsorted(self.offsets, first, "right") - 1
+        inside = first < self.offsets[text] + sizes[text]
+        return np.concatenate(keys)[inside], first[inside], length[inside], text[inside]
+
+    def _keys(self, low: int, high: int) -> np.ndarray:
+        """Keys of the windows from ``low`` to ``high``."""
+        gram = min(GRAM, self.width)
         size, want = 1, self.width - gram + 1
+        least = self._hasher.runs(self._sums, low, high + want - 1, gram)
         while 2 * size <= want:
             least = np.minimum(least[:-size], least[size:])
             size *= 2
         if size < want:
             least = np.minimum(least[: len(least) - (want - size)], least[want - size :])
-        # Windows lie inside one text.
-        sizes = np.maximum(np.diff(self.offsets) - self.width + 1, 0)
-        text = np.repeat(np.arange(len(sizes)), sizes)
-        at = self.offsets[:-1][text] + (
-            np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        )
-        key = least[at]
-        new = np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))[: len(key)]
-        first = np.flatnonzero(new)
-        length = np.diff(np.append(first, len(key)))
-        return key[first], at[first], length, text[first]
+        return least
 
     def span_classes(self, start, length):
         size = length + self.width - 1
@@ -179,7 +199,7 @@ class Bytes:
     def results(self, removed):
         gone, runs = covered_runs(len(self.data), self.offsets, removed, self.width)
         kept = self.data[~gone].tobytes()
-        at = np.append(0, np.cumsum(~gone))[self.offsets]
+        at = np.append(0, np.cumsum(~gone, dtype=np.int32))[self.offsets]
         return [
             pa.array(np.diff(self.offsets), pa.int64()),
             runs,
