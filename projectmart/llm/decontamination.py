@@ -8,7 +8,8 @@ words, and those of the right hash are compared byte by byte.
 
 The search runs inside one map over the documents, without a shuffle. Long items are cut into
 segments that overlap by a window less one word, equal segments of an item count once, and
-segments are dealt into blocks of about ``BLOCK_WORDS`` words. Each block is one pass; with several, the documents
+segments are dealt into blocks of about ``BLOCK_WORDS`` words, and about ``BLOCK_BYTES`` bytes where words are long
+(text without white space is one word). Each block is one pass; with several, the documents
 that a pass finds are stored before the next, so what is held and broadcast is that of one block
 however large the benchmark is. Tables hold numbers and one copy of the text, no object per window.
 
@@ -45,6 +46,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Words of a segment of an item, and of the segments of one pass.
 SEGMENT = 10_000
 BLOCK_WORDS = 200_000
+BLOCK_BYTES = 8 << 20
 # Positions that one lane of the search walks over.
 LANE = 256
 FOUND = [
@@ -264,7 +266,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str])
     spark = docs.sparkSession
     folder = work_folder(spark)
     tests = stored(segments(benchmark), f"{folder}/segments")
-    n_blocks = -(-(tests.agg(F.sum("n")).first()[0] or 0) // BLOCK_WORDS) or 1
+    sizes = tests.agg(F.sum("n"), F.sum(F.octet_length("words"))).first()
+    n_blocks = max(1, *(-(-(size or 0) // most) for size, most in zip(sizes, (BLOCK_WORDS, BLOCK_BYTES))))
     fields = {f.name: f for f in docs.schema.fields}
     # The names of the result must not clash with columns of the input.
     plain = docs.select(F.col("text"), *(F.col(f"`{c}`").alias(f"c_{c}") for c in carry))
