@@ -120,8 +120,7 @@ class Words:
             last = n - self.width + 1
             inside[:last] = self._text[:last] == self._text[self.width - 1 :]
         at = np.flatnonzero(inside)
-        # The upper bits say how many words a symbol has: spread the keys over all buckets.
-        key, text = mix(best[at]), self._text[at]
+        key, text = best[at], self._text[at]
         new = np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))[: len(key)]
         first = np.flatnonzero(new)
         return key[first], at[first], np.diff(np.append(first, len(key))), text[first]

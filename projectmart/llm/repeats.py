@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from projectmart.llm.arrays import blocks
+from projectmart.llm.arrays import blocks, mix
 from projectmart.llm.storage import stored, work_folder
 
 SHARD_BYTES = 2 << 20
@@ -105,7 +105,8 @@ class Shard:
     def __post_init__(self):
         self.parsed = self.finder.parse(self.data, self.offsets)
         key, self.start, self.length, text = self.parsed.stretches()
-        self.key = key >> np.uint64(64 - KEY_BITS - self.bucket_bits)
+        # A finder may take the least or largest hash of a window: spread the keys over all buckets.
+        self.key = mix(key) >> np.uint64(64 - KEY_BITS - self.bucket_bits)
         self.doc = self.ids[text]
         order = np.argsort(self.key)
         sorted_key = self.key[order]

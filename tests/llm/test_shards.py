@@ -8,7 +8,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
-from projectmart.llm import arrays, suffix_dedup
+from projectmart.llm import arrays, recompression, repeats, suffix_dedup
 
 
 def parsed(texts, width):
@@ -74,3 +74,13 @@ def test_parsing_takes_few_bytes_for_each_of_a_text():
     text = random.Random(6).randbytes(2 << 20)
     shard = parsed([text], 50)
     assert peak(shard.stretches) < 20 * len(text)
+
+
+@pytest.mark.parametrize("finder", [suffix_dedup.ByteFinder(), recompression.WordFinder()])
+def test_keys_spread_evenly_over_buckets(finder):
+    draw = random.Random(7)
+    texts = [" ".join(f"w{draw.randrange(5000)}" for _ in range(2000)).encode() for _ in range(20)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    shard = repeats.Shard(0, np.arange(20), data, offsets, finder, 5)
+    sizes = [high - low for _, low, high in shard.key_cuts()]
+    assert len(sizes) == 32 and max(sizes) < 1.5 * sum(sizes) / 32
