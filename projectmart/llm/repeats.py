@@ -254,6 +254,8 @@ def _asker(finder, bucket_bits: int, steps: int, ask):
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
                 names=["bucket", "shard", "names", "extra", "docs"],
             )
+            # The next shard is built when this one is gone.
+            del shard
 
     return run
 
@@ -270,8 +272,8 @@ def _answer_table(shards, bucket: int, bits: list[bytes], still_open: list[bytes
 
 
 def _questions(table: pa.Table):
-    names = ("shard", "names", "extra", "docs")
-    return [table.column(c).to_pylist() for c in names], table.column("bucket")[0].as_py()
+    blobs = [[cell.as_buffer() for cell in table.column(c)] for c in ("names", "extra", "docs")]
+    return [table.column("shard").to_pylist(), *blobs], table.column("bucket")[0].as_py()
 
 
 def _answer_keys(table: pa.Table) -> pa.Table:
@@ -319,13 +321,22 @@ def _answer_windows(table: pa.Table) -> pa.Table:
     """Whether the window starts in a smaller document of another shard."""
     (shards, names, _, docs), bucket = _questions(table)
     parts = [np.frombuffer(b, np.uint64) for b in names]
-    ids = [_unzip(b, np.int64) for b in docs]
-    name, doc = np.concatenate(parts), np.concatenate(ids)
+    at = np.cumsum([0, *map(len, parts)])
+    name = np.concatenate(parts)
+    # Arrays of a bucket are many times a shard's: each goes as soon as it is used.
+    del names, parts
     order = np.argsort(name)
-    merged, d = name[order], doc[order]
-    first = np.flatnonzero(np.append(True, merged[1:] != merged[:-1]))
-    merged, least = merged[first], np.minimum.reduceat(d, first)
-    bits = [_bits(least[np.searchsorted(merged, n)] < i) for n, i in zip(parts, ids)]
+    name = name[order]
+    new = np.append(True, name[1:] != name[:-1])
+    del name
+    doc = np.empty(len(order), np.int64)
+    for blob, low, high in zip(docs, at[:-1], at[1:]):
+        doc[low:high] = _unzip(blob, np.int64)
+    doc = doc[order]
+    least = np.minimum.reduceat(doc, np.flatnonzero(new))
+    smaller = np.empty(len(order), bool)
+    smaller[order] = least[np.cumsum(new) - 1] < doc
+    bits = [_bits(smaller[low:high]) for low, high in zip(at[:-1], at[1:])]
     return _answer_table(shards, bucket, bits, [b""] * len(bits))
 
 
@@ -337,6 +348,7 @@ def _finisher(finder, bucket_bits: int, steps: int, removed):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), *rows], names=["doc_id", "n_units", "removed", "kept"]
             )
+            del shard
 
     return run
 

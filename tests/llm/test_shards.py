@@ -6,6 +6,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from projectmart.llm import arrays, recompression, repeats, suffix_dedup
@@ -84,3 +85,38 @@ def test_keys_spread_evenly_over_buckets(finder):
     shard = repeats.Shard(0, np.arange(20), data, offsets, finder, 5)
     sizes = [high - low for _, low, high in shard.key_cuts()]
     assert len(sizes) == 32 and max(sizes) < 1.5 * sum(sizes) / 32
+
+
+def window_questions(draw, n_shards, n_names, values):
+    """The table of a bucket, and (name, document) of each of its rows."""
+    rows = []
+    for _ in range(n_shards):
+        names = np.unique(draw.integers(0, values, n_names, dtype=np.uint64))
+        rows.append((names, draw.integers(-5, 1000, len(names))))
+    columns = {
+        "bucket": pa.array([3] * n_shards, pa.int32()),
+        "shard": pa.array(range(n_shards), pa.int64()),
+        "names": pa.array([names.tobytes() for names, _ in rows], pa.binary()),
+        "extra": pa.array([b""] * n_shards, pa.binary()),
+        "docs": pa.array([repeats._zip(docs) for _, docs in rows], pa.binary()),
+    }
+    return pa.table(columns), rows
+
+
+@pytest.mark.parametrize("n_shards, n_names, values", [(1, 1, 9), (1, 50, 60), (7, 30, 40), (20, 9, 10**6)])
+def test_windows_of_smaller_documents_are_answered(n_shards, n_names, values):
+    table, rows = window_questions(np.random.default_rng(n_names), n_shards, n_names, values)
+    least = {}
+    for name, doc in [pair for names, docs in rows for pair in zip(names.tolist(), docs.tolist())]:
+        least[name] = min(doc, least.get(name, doc))
+    answer = repeats._answer_windows(table)
+    assert answer["shard"].to_pylist() == list(range(n_shards))
+    assert set(answer["bucket"].to_pylist()) == {3}
+    for bits, (names, docs) in zip(answer["bits"].to_pylist(), rows):
+        want = [least[name] < doc for name, doc in zip(names.tolist(), docs.tolist())]
+        assert repeats._flags(bits, len(names)).tolist() == want
+
+
+def test_answering_takes_few_bytes_for_each_window():
+    table, rows = window_questions(np.random.default_rng(8), 40, 20_000, 2**40)
+    assert peak(lambda: repeats._answer_windows(table)) < 50 * sum(len(names) for names, _ in rows)
