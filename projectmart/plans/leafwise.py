@@ -62,7 +62,9 @@ class BestFirst:
 def bin_edges(rows: DataFrame, inputs: Sequence[str], bins: int = BINS) -> list[list[float]]:
     """Upper edges of the bins of every input, from mergeable quantile sketches in one pass."""
     shares = F.array(*[F.lit(k / bins) for k in range(1, bins)])
-    known = [F.percentile_approx(F.when(~F.isnan(c), F.col(c)), shares, F.lit(10_000)) for c in inputs]
+    # As doubles, which thresholds are: the quantiles of whole numbers would be whole numbers.
+    numbers = [F.col(c).cast("double") for c in inputs]
+    known = [F.percentile_approx(F.when(~F.isnan(x), x), shares, F.lit(10_000)) for x in numbers]
     found = rows.agg(*[k.alias(f"e{i}") for i, k in enumerate(known)]).first()
     return [sorted(set(edges or [])) for edges in found]
 

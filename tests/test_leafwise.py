@@ -67,6 +67,17 @@ def test_histogram_and_best_split_equal_plain_sums(rows):
     assert (split.feature, split.bin, split.sides[0][2]) == best[1:]
 
 
+def test_a_split_at_a_whole_number(spark):
+    rows = spark.range(400).select(
+        F.col("id").alias("n"), (F.col("id") > 150).cast("int").alias("y"), F.lit(1.0).alias("w")
+    )
+    edges = leafwise.bin_edges(rows, ["n"], 8)
+    assert all(type(e) is float for e in edges[0])
+    model = leafwise.fit(rows, ["n"], "y", "w", rounds=1, leaves=2)
+    root = model.nodes(spark).filter("id = 0").first()
+    assert root["feature"] == 0 and root["threshold"] in edges[0] and root["cover"] == 400
+
+
 def test_the_best_splits_come_first():
     def split(gain):
         return leafwise.Split(gain, 0, 0, ((0, 1, 5), (0, 1, 5)))
