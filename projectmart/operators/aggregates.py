@@ -50,6 +50,16 @@ def n_distinct(value: Column, approx: bool = False) -> Column:
     return F.approx_count_distinct(value) if approx else F.count_distinct(value)
 
 
+def n_values(value: Column) -> Column:
+    """The exact number of distinct values, beside wide sums.
+
+    ``n_distinct`` plans two shuffles, and the first moves a row, with all sums, for each group and
+    value. Here a set is kept beside the sums, so one shuffle moves a row for each group. A set has to
+    fit into the memory of a task, as one of the vendors of a project does.
+    """
+    return F.size(F.collect_set(value)).cast("bigint")
+
+
 def pct(part: Column, whole: Column, scale: int = 2) -> Column:
     """part / whole * 100, rounded; NULL for a zero or unknown whole."""
     percent = F.try_divide(part.cast("double"), whole.cast("double")) * 100.0

@@ -14,7 +14,7 @@ from projectmart.operators.aggregates import (
     mean,
     money_sum,
     money_total,
-    n_distinct,
+    n_values,
     pct,
     ratio,
 )
@@ -36,7 +36,7 @@ def cost_features(costs: DataFrame) -> DataFrame:
         money_sum(F.col("committed_eur")).alias("total_committed"),
         money_sum(F.col("variance_eur")).alias("total_variance"),
         F.count("*").alias("cost_line_count"),
-        n_distinct(F.col("cost_category")).alias("distinct_cost_categories"),
+        n_values(F.col("cost_category")).alias("distinct_cost_categories"),
         F.count_if(F.col("variance_eur") < 0).alias("overrun_line_count"),
     )
     return totals.select(
@@ -65,7 +65,7 @@ def schedule_features(milestones: DataFrame) -> DataFrame:
             F.count_if(status == "delayed").alias("delayed_ms"),
             round_half_up(F.avg("delay_days"), 2).alias("avg_delay_days"),
             F.max("delay_days").alias("max_delay_days"),
-            n_distinct(F.col("takt_zone")).alias("distinct_takt_zones"),
+            n_values(F.col("takt_zone")).alias("distinct_takt_zones"),
         )
         .withColumns(
             {
@@ -80,7 +80,7 @@ def vendor_features(evaluations: DataFrame) -> DataFrame:
     return evaluations.groupBy("project_id").agg(
         round_half_up(mean(F.col("overall_score")), 2).alias("avg_vendor_score"),
         round_half_up(F.min("overall_score"), 2).alias("min_vendor_score"),
-        n_distinct(F.col("vendor_id")).alias("distinct_vendors"),
+        n_values(F.col("vendor_id")).alias("distinct_vendors"),
         F.count_if(~F.col("would_rehire")).alias("no_rehire_count"),
     )
 
@@ -93,7 +93,7 @@ def po_features(orders: DataFrame) -> DataFrame:
             money_sum(F.col("invoiced_eur")).alias("total_invoiced_from_po"),
             F.count("*").alias("total_pos"),
             F.count_if("is_over_invoiced").alias("over_invoiced_pos"),
-            n_distinct(F.col("vendor_id")).alias("distinct_po_vendors"),
+            n_values(F.col("vendor_id")).alias("distinct_po_vendors"),
         )
         .withColumn("over_invoice_rate", ratio(F.col("over_invoiced_pos"), F.col("total_pos")))
     )

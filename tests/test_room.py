@@ -8,6 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from projectmart.operators import aggregates as A
+from projectmart.plans import features
 from projectmart.sources.tables import (
     Layers,
     _CLEANUP,
@@ -72,3 +74,22 @@ def test_stored_tables_and_sinks_are_compressed_alike(spark, layers, tmp_path):
     for place in (folder.removeprefix("file://"), sink):
         files = list(Path(place).rglob("*.parquet"))
         assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+
+
+def test_distinct_values_beside_sums_take_one_shuffle(spark):
+    rows = spark.range(300).select(
+        (F.col("id") % 5).alias("k"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), F.col("id") % 11)).alias("v"),
+    )
+    both = rows.groupBy("k").agg(A.n_values(F.col("v")).alias("a"), A.n_distinct(F.col("v")).alias("b"))
+    assert both.filter("a <> b").count() == 0 and dict(both.dtypes)["a"] == dict(both.dtypes)["b"]
+    nothing = rows.filter("v IS NULL").groupBy("k").agg(A.n_values(F.col("v")).alias("a"))
+    assert {r["a"] for r in nothing.collect()} == {0}
+
+    costs = spark.createDataFrame(
+        [("p", "labour", 1.0, 1.0, 1.0, 0.0)],
+        "project_id string, cost_category string, budget_eur double, committed_eur double,"
+        " actual_eur double, variance_eur double",
+    )
+    text = features.cost_features(costs)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
