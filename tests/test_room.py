@@ -19,6 +19,7 @@ from projectmart.sources.tables import (
     shuffles_removed,
 )
 from projectmart.streaming.ingest import ingest_stream
+from registry.base import Stored
 
 
 @pytest.fixture()
@@ -76,6 +77,19 @@ def test_stored_tables_and_sinks_are_compressed_alike(spark, layers, tmp_path):
         assert files and all(f.name.endswith(".zstd.parquet") for f in files)
 
 
+def test_streams_start_from_raw_tables_alone(spark, small, monkeypatch):
+    monkeypatch.setattr(Stored, "_known", {})
+    monkeypatch.setattr(Stored, "_complete", lambda s: pytest.fail("a table was written that is not read"))
+    stored = Stored.bronze_of(spark, small)
+    assert Stored.bronze_of(spark, small) is stored
+    assert scan(spark, stored.layers, "bronze", "fact_invoices").count() > 0
+    assert not spark.catalog.tableExists(stored.layers.name("silver", "fact_invoices"))
+    # What the other queries ask for is more.
+    done = []
+    monkeypatch.setattr(Stored, "_complete", lambda s: (done.append(s), setattr(s, "_whole", True)))
+    assert Stored.of(spark, small) is Stored.of(spark, small) is stored and done == [stored]
+
+
 def test_distinct_values_beside_sums_take_one_shuffle(spark):
     rows = spark.range(300).select(
         (F.col("id") % 5).alias("k"),
