@@ -92,7 +92,8 @@ def of_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """The rows with one of some keys. Rows that cannot have one, by a summary of the keys, stay where
     they are; the more keys, the more rows move."""
     marked, hit = _marked(df, key, keys, "inner")
-    return marked.filter(hit).select(df.columns).join(keys, key, "left_semi")
+    # A semi join would be planned below the join with the summary, and then move every row.
+    return marked.filter(hit).select(df.columns).join(keys.select(key).distinct(), key).select(df.columns)
 
 
 def without_keys(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:

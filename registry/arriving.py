@@ -11,7 +11,7 @@ from projectmart.operators.keys import clean_keys
 from projectmart.plans import declarative, incremental
 from projectmart.sources.arrival import ARRIVAL, with_arrival
 from projectmart.sources.schemas import PRIMARY_KEYS, RAW_SCHEMAS
-from projectmart.sources.tables import save, scan, shared_folder
+from projectmart.sources.tables import COMPRESSION, save, scan, shared_folder
 from projectmart.streaming.ingest import ingest_checked, ingest_unique, record_counts
 from registry.base import Tables, query
 from registry.storage import fresh_layers
@@ -46,7 +46,11 @@ def _(t: Tables):
     projects = declarative.silver_table("dim_projects", t.raw["dim_projects"])
     save(projects, layers, "silver", "dim_projects")
     share = F.pmod(F.xxhash64(*RAW_SCHEMAS[table].fieldNames()), F.lit(20))
-    dealt = t.raw[table].withColumn("_share", share)
+    # The raw rows are derived once, and each delivery reads its own files.
+    path = f"{shared_folder(t.spark)}/dealt"
+    shares = t.raw[table].withColumn("_share", F.least(share, F.lit(2)))
+    shares.write.partitionBy("_share").option("compression", COMPRESSION).parquet(path)
+    dealt = t.spark.read.parquet(path)
     _deliver(t, layers, table, dealt.filter("_share > 1"), "overwrite")
     incremental.build_partitioned(t.spark, layers, mart)
     for nth in (0, 1):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from projectmart.operators import aggregates as A
+from projectmart.operators.keys import of_keys
 from projectmart.plans import features
 from projectmart.sources.tables import (
     Layers,
@@ -107,3 +108,14 @@ def test_distinct_values_beside_sums_take_one_shuffle(spark):
     )
     text = features.cost_features(costs)._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_rows_that_cannot_have_a_key_are_dropped_before_rows_move(spark, tmp_path):
+    spark.range(2000).select(F.col("id").alias("k"), F.lit("v").alias("v")).write.parquet(f"{tmp_path}/rows")
+    spark.range(5).select((F.col("id") * 7).alias("k")).write.parquet(f"{tmp_path}/keys")
+    df, keys = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("rows", "keys"))
+    found = of_keys(df, "k", keys.union(keys))
+    assert sorted(r["k"] for r in found.collect()) == [0, 7, 14, 21, 28]
+    text = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {name: min(len(line) - len(line.lstrip(" :+-")) for line in text if name in line) for name in ("Join ", "getbit")}
+    assert depth["Join "] < depth["getbit"]
