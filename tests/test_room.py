@@ -110,6 +110,22 @@ def test_distinct_values_beside_sums_take_one_shuffle(spark):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def test_an_exact_sum_moves_one_number(spark):
+    values = [0.1, 0.2, -0.3, 1e15, 1.23456789e20, -9.9e23, 0.00005, 214748.36475, None]
+    rows = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "k int, v double")
+    sums = rows.groupBy("k").agg(A.money_total(F.col("v")).alias("s"), F.sum(F.col("v").cast(A.MONEY)).alias("c"))
+    assert sums.filter("NOT s <=> c").count() == 0
+    assert dict(sums.dtypes)["s"] == "decimal(38,4)"
+    nothing = spark.createDataFrame([(1, None)], "k int, v double").agg(A.money_total(F.col("v")).alias("s"))
+    assert nothing.first()["s"] is None
+    # Beyond 10^30, where ten-thousandths have 35 digits.
+    many = spark.range(3_000_000, numPartitions=4).agg(A.money_total(F.lit(9e23)).cast("string").alias("s"))
+    exact = spark.range(1).select((F.lit(9e23).cast(A.MONEY) * 3_000_000).cast("decimal(38,4)").cast("string").alias("s"))
+    assert many.first()["s"] == exact.first()["s"]
+    plan = rows.groupBy("k").agg(A.money_total(F.col("v")))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("partial_sum(") == 1
+
+
 def test_rows_that_cannot_have_a_key_are_dropped_before_rows_move(spark, tmp_path):
     spark.range(2000).select(F.col("id").alias("k"), F.lit("v").alias("v")).write.parquet(f"{tmp_path}/rows")
     spark.range(5).select((F.col("id") * 7).alias("k")).write.parquet(f"{tmp_path}/keys")
